@@ -12,9 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from tenure import schemas as S
+from tenure.operators.checks import duplicate_keys, length_violations, null_counts
 from tenure.plans import queries as Q
-from tenure.plans.standins import employee_standin, history_standin, oracle_with
+from tenure.plans.job import run_etl
+from tenure.plans.standins import employee_standin, history_standin, oracle_with, read_table
+from tenure.session import new_run_folder
+from tenure.sinks.replace import replace_table
+from tenure.sources.catalog import copy_tables
+from tenure.sources.tables import register_sheet_table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -56,6 +64,84 @@ def _training_periods(spark, sf_dir):
     return Q.training_periods(*_inputs(spark, sf_dir))
 
 
+def _csv_row_index(spark, sf_dir):
+    return Q.with_row_index(Q.training_history(*_inputs(spark, sf_dir)))
+
+
+def _dim_employee_text(spark, sf_dir):
+    return Q.dim_employee(employee_standin(spark, sf_dir), as_text=True)
+
+
+def _check_unique(spark, sf_dir):
+    # (l_orderkey, l_linenumber) repeats in the supplied lineitem: a failing case.
+    return duplicate_keys(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def _check_primary_key(spark, sf_dir):
+    return duplicate_keys(history_standin(spark, sf_dir), S.PRIMARY_KEYS[S.HISTORY_TABLE])
+
+
+def _check_not_null(spark, sf_dir):
+    emp, hist = _inputs(spark, sf_dir)
+    parts = []
+    for table, df, schema in ((S.EMPLOYEE_TABLE, emp, S.EMPLOYEE), (S.HISTORY_TABLE, hist, S.POSITION_HISTORY)):
+        parts.append(null_counts(df, S.present(S.not_null_columns(schema), df.columns), table))
+    return parts[0].unionByName(parts[1])
+
+
+def _check_length(spark, sf_dir):
+    emp, hist = _inputs(spark, sf_dir)
+    e = length_violations(emp, S.VARCHAR_LIMITS[S.EMPLOYEE_TABLE], S.EMPLOYEE_TABLE)
+    h = length_violations(hist, S.VARCHAR_LIMITS[S.HISTORY_TABLE], S.HISTORY_TABLE)
+    return e.unionByName(h)
+
+
+COPIED_TABLES = ["customer", "orders"]
+
+
+def _copy_tables(spark, sf_dir):
+    root = new_run_folder(spark, "copies")
+    return copy_tables(spark, COPIED_TABLES, lambda name: read_table(spark, sf_dir, name), root)
+
+
+def _etl(spark, sf_dir):
+    """The whole batch job, with the history read through a sheet-backed CSV table."""
+    root = new_run_folder(spark, "dwh")
+    emp, hist = _inputs(spark, sf_dir)
+    sheet = replace_table(hist, "position_history_sheet", root, fmt="csv", options={"header": "true"}, register=False)
+    sheet_hist = register_sheet_table(spark, S.DIM_HISTORY_TABLE, sheet.path, hist.schema)
+    return run_etl(emp, sheet_hist, root)
+
+
+def _etl_fact_table(spark, sf_dir):
+    return _etl(spark, sf_dir).fact.path_frame(spark)
+
+
+HISTORY_CSV_SCHEMA = T.StructType(
+    [
+        T.StructField("row_index", T.LongType()),
+        T.StructField("Id_Employee", T.IntegerType()),
+        T.StructField("EmployeeId", T.StringType()),
+        T.StructField("FullName", T.StringType()),
+        T.StructField("Address", T.StringType()),
+        T.StructField("Id_PositionHistory", T.LongType()),
+        T.StructField("PosTitle", T.StringType()),
+        T.StructField("StartDate", T.DateType()),
+        T.StructField("EndDate", T.DateType()),
+        T.StructField("training_day_duration", T.IntegerType()),
+        T.StructField("rn", T.IntegerType()),
+    ]
+)
+
+
+def _etl_history_csv(spark, sf_dir):
+    return _etl(spark, sf_dir).history_csv.path_frame(spark, HISTORY_CSV_SCHEMA)
+
+
+def _etl_audit(spark, sf_dir):
+    return _etl(spark, sf_dir).audit.frame().select("step", "status", "rows")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "current_position": _current_position,
@@ -64,6 +150,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "training_history": _training_history,
         "training_fact": _training_fact,
         "training_periods": _training_periods,
+        "csv_row_index": _csv_row_index,
+        "dim_employee_text": _dim_employee_text,
+        "check_unique": _check_unique,
+        "check_primary_key": _check_primary_key,
+        "check_not_null": _check_not_null,
+        "check_length": _check_length,
+        "copy_tables": _copy_tables,
+        "etl_fact_table": _etl_fact_table,
+        "etl_history_csv": _etl_history_csv,
+        "etl_audit": _etl_audit,
     }
 
 
@@ -126,6 +222,75 @@ where n.rn = 1
 """
 
 
+_CSV_ROW_INDEX = f"""
+{_NUMBERED}
+, wide as (
+  select e.Id as Id_Employee, e.EmployeeId, e.FullName, e.Address, n.Id_PositionHistory,
+         n.PosTitle, n.StartDate, n.EndDate, n.training_day_duration, n.rn
+  from employee e left join numbered n on e.EmployeeId = n.EmployeeId)
+select cast(row_number() over (order by Id_Employee asc nulls last, EmployeeId asc nulls last,
+                                        rn asc nulls last, Id_PositionHistory asc nulls last) - 1
+            as bigint) as row_index, *
+from wide
+"""
+
+_DIM_EMPLOYEE_TEXT = """
+select cast(Id as varchar) as Id, EmployeeId, FullName, Address from employee
+"""
+
+_CHECK_UNIQUE = """
+select l_orderkey, l_linenumber, count(*) as n_rows
+from lineitem group by l_orderkey, l_linenumber
+having count(*) > 1 or l_orderkey is null or l_linenumber is null
+"""
+
+_CHECK_PRIMARY_KEY = """
+select Id, count(*) as n_rows from position_history group by Id
+having count(*) > 1 or Id is null
+"""
+
+_CHECK_NOT_NULL = """
+select 'Employee' as table_name, 'Id' as column_name, count_if(Id is null) as null_rows from employee
+union all select 'Employee', 'EmployeeId', count_if(EmployeeId is null) from employee
+union all select 'Employee', 'FullName', count_if(FullName is null) from employee
+union all select 'PositionHistory', 'Id', count_if(Id is null) from position_history
+union all select 'PositionHistory', 'PosTitle', count_if(PosTitle is null) from position_history
+union all select 'PositionHistory', 'EmployeeId', count_if(EmployeeId is null) from position_history
+union all select 'PositionHistory', 'StartDate', count_if(StartDate is null) from position_history
+union all select 'PositionHistory', 'EndDate', count_if(EndDate is null) from position_history
+"""
+
+_CHECK_LENGTH = """
+select 'Employee' as table_name, 'EmployeeId' as column_name,
+       cast(max(length(EmployeeId)) as integer) as max_length, 10 as length_limit,
+       count_if(length(EmployeeId) > 10) as too_long from employee
+union all select 'Employee', 'FullName', cast(max(length(FullName)) as integer), 100,
+       count_if(length(FullName) > 100) from employee
+union all select 'Employee', 'Address', cast(max(length(Address)) as integer), 500,
+       count_if(length(Address) > 500) from employee
+union all select 'PositionHistory', 'PosTitle', cast(max(length(PosTitle)) as integer), 100,
+       count_if(length(PosTitle) > 100) from position_history
+union all select 'PositionHistory', 'EmployeeId', cast(max(length(EmployeeId)) as integer), 10,
+       count_if(length(EmployeeId) > 10) from position_history
+"""
+
+_COPY_TABLES = """
+select 'customer' as table_name, 'src_customer' as target, count(*) as rows_copied from customer
+union all select 'orders', 'src_orders', count(*) from orders
+"""
+
+_ETL_AUDIT = f"""
+{_NUMBERED}
+select 'load_dim_employee' as step, 'ok' as status, count(*) as "rows" from employee
+union all
+select 'write_training_history_csv', 'ok', count(*)
+from employee e left join numbered n on e.EmployeeId = n.EmployeeId
+union all
+select 'load_fact_training_days', 'ok', count(*)
+from employee e join numbered n on e.EmployeeId = n.EmployeeId where n.rn = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "current_position": oracle_with(_CURRENT),
@@ -134,4 +299,14 @@ def oracle_sql() -> dict[str, str]:
         "training_history": oracle_with(_TRAINING_HISTORY),
         "training_fact": oracle_with(_TRAINING_FACT),
         "training_periods": oracle_with(_TRAINING_PERIODS),
+        "csv_row_index": oracle_with(_CSV_ROW_INDEX),
+        "dim_employee_text": oracle_with(_DIM_EMPLOYEE_TEXT),
+        "check_unique": _CHECK_UNIQUE,
+        "check_primary_key": oracle_with(_CHECK_PRIMARY_KEY),
+        "check_not_null": oracle_with(_CHECK_NOT_NULL),
+        "check_length": oracle_with(_CHECK_LENGTH),
+        "copy_tables": _COPY_TABLES,
+        "etl_fact_table": oracle_with(_TRAINING_FACT),
+        "etl_history_csv": oracle_with(_CSV_ROW_INDEX),
+        "etl_audit": oracle_with(_ETL_AUDIT),
     }
