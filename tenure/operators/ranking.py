@@ -7,7 +7,9 @@ Two shapes occur in the source job and queries:
 
 The first is an aggregate here (``min_by`` / ``max_by`` over a sort key): every
 map task collapses its rows to one per group before the shuffle, so a group
-holding a third of all rows costs the same as any other. No window, no sort.
+holding a third of all rows costs the same as any other. (Spark plans it as a
+sort-based aggregate, since the buffer holds a struct; the partial step still
+runs before the exchange.)
 
 The second needs every row of a group in order. Groups of ordinary size use a
 plain window partitioned by the key. Groups above ``tenure.hotGroupRows`` rows
@@ -78,8 +80,9 @@ def first_per_group(
 
     Later columns of ``order`` break ties of earlier ones; pass a unique column
     last for repeatable answers. Equivalent to ``row_number() over (partition
-    by keys order by order) = 1`` but planned as a hash aggregate with a
-    partial (map-side) step, so hot groups shrink before the shuffle.
+    by keys order by order) = 1`` but planned as an aggregate with a partial
+    (map-side) step, so hot groups shrink to one row per task before the
+    shuffle.
     """
     carry = carry if carry is not None else [c for c in df.columns if c not in keys]
     pick = F.max_by if descending else F.min_by

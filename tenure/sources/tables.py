@@ -60,7 +60,7 @@ def literal_rows(spark: SparkSession, schema: T.StructType, rows: Iterable[Seque
 
 def insert_rows(spark: SparkSession, table: str, schema: T.StructType, rows: Iterable[Sequence]) -> None:
     """Append literal rows to a created table (store assignment checks lengths)."""
-    literal_rows(spark, schema, rows).writeTo(table).append()
+    literal_rows(spark, schema, rows).write.insertInto(table)
 
 
 def read_warehouse_table(spark: SparkSession, name_or_path: str, schema: T.StructType | None = None) -> DataFrame:
