@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,24 +108,30 @@ class HotSplit:
 def split_hot_groups(df: DataFrame, keys: list[str], min_rows: int | None = None) -> HotSplit:
     """Separate groups with at least ``min_rows`` rows from the rest.
 
-    The count is exact (a partial aggregate over the key columns only) and its
-    small result is written once, so the decision below and the later joins use
-    the same list. There are at most ``rows / min_rows`` hot groups; the list is
-    broadcast only when its measured length is under ``tenure.maxBroadcastRows``,
-    otherwise the split joins are left to the planner (sort-merge, AQE).
+    The count is exact (a partial aggregate over the key columns only; Catalyst
+    prunes everything else from the source plan) and one job both computes and
+    measures the list, which is kept persisted for the joins below. The list is
+    deterministic, so a lost block is recomputed to the same keys. There are at
+    most ``rows / min_rows`` hot groups; the list is broadcast only when its
+    measured length is under ``tenure.maxBroadcastRows``, otherwise the split
+    joins are left to the planner (sort-merge with AQE skew handling).
+    A non-positive ``min_rows`` turns the split off.
     """
     spark = df.sparkSession
     if min_rows is None:
         min_rows = conf_int(spark, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT)
-    counts = (
+    if min_rows <= 0:
+        return HotSplit(df, None, None, True)
+    hot_keys = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") >= F.lit(min_rows))
         .select(*keys)
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    hot_keys = materialize(counts, "hot-groups")
     n_hot = hot_keys.count()
     if n_hot == 0:
+        hot_keys.unpersist()
         return HotSplit(df, None, None, True)
     broadcastable = n_hot <= conf_int(spark, MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT)
     side = F.broadcast(hot_keys) if broadcastable else hot_keys
