@@ -1,6 +1,7 @@
 """Relational building blocks: ranking, validity intervals, constraint checks."""
 
 from tenure.operators.checks import duplicate_keys, length_violations, null_counts
+from tenure.operators.numbering import assign_identity
 from tenure.operators.ranking import (
     first_per_group,
     number_by_ranges,
@@ -10,6 +11,7 @@ from tenure.operators.ranking import (
 from tenure.operators.temporal import valid_at
 
 __all__ = [
+    "assign_identity",
     "duplicate_keys",
     "length_violations",
     "null_counts",

@@ -1,0 +1 @@
+"""Composite queries, the batch job and the test-data stand-ins."""

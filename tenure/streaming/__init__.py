@@ -1,0 +1,6 @@
+"""Streaming operators: none.
+
+The source job is a batch job started on a schedule; it reads no stream and
+keeps no state between runs (every load is a full replace). Nothing here, on
+purpose: ``tenure.plans.job.run_etl`` is the unit a scheduler calls.
+"""

@@ -86,3 +86,17 @@ def test_first_per_group_equals_rn_one(spark):
     merged = pd.merge(got, want, on=["key"], suffixes=("", "_w"))
     assert len(merged) == len(want) == len(got)
     assert (merged["id"] == merged["id_w"]).all()
+
+
+def test_assign_identity_keeps_explicit_ids(spark):
+    from tenure.operators.numbering import assign_identity
+
+    df = spark.createDataFrame(
+        [(5, "a"), (None, "c"), (2, "b"), (None, "a"), (None, None)], "Id int, name string"
+    )
+    got = sorted((r.name, r.Id) for r in assign_identity(df, "Id", ["name"]).collect() if r.name)
+    assert got == [("a", 5), ("a", 6), ("b", 2), ("c", 7)]
+    nulls = [r.Id for r in assign_identity(df, "Id", ["name"]).collect() if r.name is None]
+    assert nulls == [8]
+    fresh = spark.createDataFrame([(None, "x"), (None, "y")], "Id int, name string")
+    assert sorted((r.name, r.Id) for r in assign_identity(fresh, "Id", ["name"]).collect()) == [("x", 0), ("y", 1)]
