@@ -33,6 +33,8 @@ from tenure.session import (
     HOT_GROUP_ROWS_DEFAULT,
     MAX_BROADCAST_ROWS,
     MAX_BROADCAST_ROWS_DEFAULT,
+    ROWS_PER_RANGE,
+    ROWS_PER_RANGE_DEFAULT,
     conf_int,
     materialize,
 )
@@ -93,16 +95,29 @@ def first_per_group(
 
 @dataclass
 class HotSplit:
-    """Rows split by group size. ``hot_keys`` is None when no group is hot."""
+    """Rows split by group size. ``hot_keys`` is None when no group is hot.
+
+    ``hot_keys`` holds the key columns and ``_rows`` (the group's size);
+    ``hot_rows`` is the total over hot groups, used to size range partitions.
+    """
 
     normal: DataFrame
     hot: DataFrame | None
     hot_keys: DataFrame | None
     broadcastable: bool
+    hot_rows: int = 0
 
-    def keys_side(self) -> DataFrame:
+    def keys_side(self, columns: list[str] | None = None) -> DataFrame:
+        """The hot-key list as a join side, broadcast when its size allowed."""
         assert self.hot_keys is not None
-        return F.broadcast(self.hot_keys) if self.broadcastable else self.hot_keys
+        side = self.hot_keys.select(*columns) if columns else self.hot_keys
+        return F.broadcast(side) if self.broadcastable else side
+
+    def range_partitions(self, spark) -> int:
+        """Enough range partitions that each holds about ``tenure.rowsPerRange`` rows."""
+        per = conf_int(spark, ROWS_PER_RANGE, ROWS_PER_RANGE_DEFAULT)
+        base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(base, -(-self.hot_rows // per))
 
 
 def split_hot_groups(df: DataFrame, keys: list[str], min_rows: int | None = None) -> HotSplit:
@@ -126,18 +141,17 @@ def split_hot_groups(df: DataFrame, keys: list[str], min_rows: int | None = None
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") >= F.lit(min_rows))
-        .select(*keys)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    n_hot = hot_keys.count()
-    if n_hot == 0:
+    measured = hot_keys.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).first()
+    if measured["n"] == 0:
         hot_keys.unpersist()
         return HotSplit(df, None, None, True)
-    broadcastable = n_hot <= conf_int(spark, MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT)
+    broadcastable = measured["n"] <= conf_int(spark, MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT)
     side = F.broadcast(hot_keys) if broadcastable else hot_keys
     normal = df.join(side, keys, "left_anti")
     hot = df.join(side, keys, "left_semi")
-    return HotSplit(normal, hot, hot_keys, broadcastable)
+    return HotSplit(normal, hot, hot_keys, broadcastable, int(measured["rows"]))
 
 
 def number_by_ranges(
@@ -210,5 +224,9 @@ def number_within(
     w = Window.partitionBy(*keys).orderBy(*sort_orders(order, descending))
     out = split.normal.withColumn(name, F.row_number().over(w))
     if split.hot is not None:
-        out = out.unionByName(number_by_ranges(split.hot, keys, order, name=name, descending=descending))
+        ranged = number_by_ranges(
+            split.hot, keys, order, name=name, descending=descending,
+            num_partitions=split.range_partitions(df.sparkSession),
+        )
+        out = out.unionByName(ranged)
     return out

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from tenure.operators.ranking import (
     split_hot_groups,
 )
 from tenure.operators.temporal import valid_at
+from tenure.session import MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT, conf_int
 from tenure.schemas import (
     EMPLOYEE_ATTRS,
     KEY,
@@ -169,8 +171,10 @@ def training_history(
         wide = e.join(numbered, K, "left")
     else:
         wide = e.join(split.keys_side(), K, "left_anti").join(numbered, K, "left")
-        hot = number_by_ranges(split.hot, [K], TRAINING_ORDER)
-        wide = wide.unionByName(e.join(hot, K, "inner"))
+        hot = number_by_ranges(
+            split.hot, [K], TRAINING_ORDER, num_partitions=split.range_partitions(emp.sparkSession)
+        )
+        wide = wide.unionByName(_join_hot_employees(e, hot, split))
     cols = present(TRAINING_HISTORY_COLUMNS, wide.columns)
     wide = wide.select(*cols)
     if golden:
@@ -179,6 +183,21 @@ def training_history(
     return wide
 
 
+def _join_hot_employees(e: DataFrame, hot: DataFrame, split) -> DataFrame:
+    """Employees of hot keys joined to their (range-numbered) history.
+
+    The employees of hot keys are few (one per key when the key is unique, as
+    declared); when their measured count is small they are broadcast, so the
+    hot rows are not shuffled again. Otherwise a sort-merge join whose skewed
+    partitions AQE splits.
+    """
+    spark = e.sparkSession
+    e_hot = e.join(split.keys_side([K]), K, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+    limit = conf_int(spark, MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT)
+    side = F.broadcast(e_hot) if e_hot.count() <= limit else e_hot
+    return hot.join(side, K, "inner")
+
+
 def first_positions(hist: DataFrame, key_mode: str = EXACT) -> DataFrame:
     """Each key's first position (earliest start, nulls last, ties by smaller Id)."""
     return first_per_group(_history_with_duration(hist, key_mode), [K], TRAINING_ORDER)

@@ -30,6 +30,8 @@ HOT_GROUP_ROWS = "tenure.hotGroupRows"
 HOT_GROUP_ROWS_DEFAULT = 2_000_000
 MAX_BROADCAST_ROWS = "tenure.maxBroadcastRows"
 MAX_BROADCAST_ROWS_DEFAULT = 2_000_000
+ROWS_PER_RANGE = "tenure.rowsPerRange"
+ROWS_PER_RANGE_DEFAULT = 4_000_000
 
 
 def build_session(
@@ -71,6 +73,22 @@ def new_run_folder(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_WRITTEN: list[str] = []
+
+
+def release_materialized(spark: SparkSession) -> None:
+    """Delete the intermediate tables written by ``materialize`` in this process.
+
+    Call once the results that read them have been written (the batch job does
+    this at its end); DataFrames built on them cannot be evaluated afterwards.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a (small) intermediate result once and read it back.
 
@@ -81,4 +99,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_run_folder(spark, label)
     df.write.mode("errorifexists").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)

@@ -74,3 +74,18 @@ def test_row_index_has_no_whole_data_single_partition(tables):
     assert len(single) == 2
     assert "HashAggregate(keys=[_part" in single[1]
     assert "BroadcastHashJoin" in plan
+
+
+def test_hot_keys_leave_the_window_and_join_broadcast_sides(tables, no_broadcast):
+    emp, hist = tables
+    plan = plan_text(Q.training_history(emp, hist, min_hot_rows=2))
+    normal, hot = plan.split("Union", 1)[1].split("\n   +- ", 1)
+    # Lines of the union's first child (nested cached-plan dumps are indented without ":").
+    first_child = "\n".join(line for line in normal.splitlines() if line.startswith("   :"))
+    # Normal keys: hot keys removed by a broadcast anti join, window, one exchange per side.
+    assert "LeftAnti" in first_child and "Window" in first_child
+    assert first_child.count("Exchange hashpartitioning(_k") == 2
+    # Hot keys: no window; joined to broadcast offsets and broadcast employees.
+    assert "Window [row_number()" not in hot
+    assert "BroadcastHashJoin [_part" in hot
+    assert hot.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in hot.split("InMemoryRelation")[0]
