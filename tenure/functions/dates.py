@@ -51,5 +51,9 @@ def whole_days(df: DataFrame, start: str, end: str) -> Column:
     types = {df.schema[start].dataType, df.schema[end].dataType}
     if types <= {T.DateType()}:
         return F.datediff(F.col(end), F.col(start))
-    secs = F.unix_timestamp(F.col(end).cast("timestamp")) - F.unix_timestamp(F.col(start).cast("timestamp"))
+    if types <= {T.DateType(), T.TimestampNTZType()}:
+        # Wall-clock values: no time zone, so no daylight-saving hour sneaks in.
+        secs = F.timestamp_diff("SECOND", F.col(start).cast("timestamp_ntz"), F.col(end).cast("timestamp_ntz"))
+    else:
+        secs = F.unix_timestamp(F.col(end).cast("timestamp")) - F.unix_timestamp(F.col(start).cast("timestamp"))
     return F.floor(secs / F.lit(86400)).cast("int")

@@ -114,3 +114,20 @@ def test_text_dates_are_parsed_and_bad_dates_raise(spark):
     bad = spark.createDataFrame([("1", "e1", "2022-01-01", "not a date")], schema)
     with pytest.raises(Exception):
         Q.training_fact(emp, bad).collect()
+
+
+def test_whole_days_on_wall_clock_timestamps_ignore_dst(spark):
+    from tenure.functions.dates import whole_days
+
+    df = spark.createDataFrame(
+        [(dt.datetime(2022, 3, 12, 12, 0), dt.datetime(2022, 3, 14, 12, 0)),
+         (dt.datetime(2022, 1, 2, 23, 0), dt.datetime(2022, 1, 2, 1, 0))],
+        "s timestamp_ntz, e timestamp_ntz",
+    )
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = [r.d for r in df.select(whole_days(df, "s", "e").alias("d")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [2, -1]
