@@ -167,8 +167,10 @@ def number_by_ranges(
     """Exact ``row_number()`` within ``keys`` (or over everything when ``keys``
     is empty), computed without putting a whole group in one task.
 
-    1. Range-partition on (keys, order) with an explicit partition count and
-       sort inside each partition; a large group spans many partitions.
+    1. Range-partition on (keys, order) and sort inside each partition; a
+       large group spans many partitions. Without ``num_partitions`` the
+       session's shuffle partitions are used and AQE may merge neighbouring
+       (small) ranges, which keeps ranges contiguous and in order.
     2. Record each row's position in its partition and write the result to the
        shared work folder: positions become stored data, so the two readers
        below agree even if a stage is re-run.
@@ -176,12 +178,10 @@ def number_by_ranges(
        partitions of each group: at most partitions + groups rows, broadcast.
     4. Number = rows of the group in earlier partitions + position within it.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = [F.col(k).asc_nulls_last() for k in keys] + sort_orders(order, descending)
+    ranged = df.repartitionByRange(num_partitions, *orders) if num_partitions else df.repartitionByRange(*orders)
     positioned = (
-        df.repartitionByRange(n, *orders)
-        .sortWithinPartitions(*orders)
+        ranged.sortWithinPartitions(*orders)
         .withColumn("_pos", F.monotonically_increasing_id())
     )
     stored = materialize(positioned, "ranged-positions")
