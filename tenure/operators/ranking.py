@@ -175,9 +175,11 @@ def number_by_ranges(
        shared work folder: positions become stored data, so the two readers
        below agree even if a stage is re-run.
     3. Count rows per (partition, group) and take running totals over the
-       partitions of each group: at most partitions + groups rows, broadcast.
+       partitions of each group: at most partitions + groups rows, broadcast
+       when measured under ``tenure.maxBroadcastRows``.
     4. Number = rows of the group in earlier partitions + position within it.
     """
+    spark = df.sparkSession
     orders = [F.col(k).asc_nulls_last() for k in keys] + sort_orders(order, descending)
     ranged = df.repartitionByRange(num_partitions, *orders) if num_partitions else df.repartitionByRange(*orders)
     positioned = (
@@ -196,7 +198,15 @@ def number_by_ranges(
     by_part = Window.partitionBy(*keys).orderBy("_part") if keys else Window.orderBy("_part")
     earlier = by_part.rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("_before", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)))
-    numbered = stored.join(F.broadcast(spans.select("_part", *keys, "_before", "_first")), ["_part", *keys])
+    spans = spans.select("_part", *keys, "_before", "_first")
+    if keys:
+        # partitions + distinct keys rows: small for hot keys, but measured
+        # before broadcasting since a caller may pass any number of keys.
+        spans = spans.persist(StorageLevel.MEMORY_AND_DISK)
+        small = spans.count() <= conf_int(spark, MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT)
+    else:
+        small = True  # at most one row per range partition
+    numbered = stored.join(F.broadcast(spans) if small else spans, ["_part", *keys])
     value = F.col("_before") + F.col("_local") - F.col("_first") + F.lit(start)
     out_type = "int" if keys else "bigint"
     return numbered.withColumn(name, value.cast(out_type)).select(*df.columns, name)

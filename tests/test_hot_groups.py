@@ -100,3 +100,16 @@ def test_assign_identity_keeps_explicit_ids(spark):
     assert nulls == [8]
     fresh = spark.createDataFrame([(None, "x"), (None, "y")], "Id int, name string")
     assert sorted((r.name, r.Id) for r in assign_identity(fresh, "Id", ["name"]).collect()) == [("x", 0), ("y", 1)]
+
+
+def test_number_by_ranges_with_many_keys_and_no_broadcast(spark):
+    df = _skewed(spark, seed=13)
+    spark.conf.set("tenure.maxBroadcastRows", "5")
+    try:
+        got = number_by_ranges(df, ["key"], ["start", "id"], num_partitions=5)
+    finally:
+        spark.conf.unset("tenure.maxBroadcastRows")
+    want = df.withColumn(
+        "rn", F.row_number().over(Window.partitionBy("key").orderBy(F.col("start").asc_nulls_last(), "id"))
+    )
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
