@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from tenure.functions.text import EXACT, stringify
 from tenure.plans.queries import dim_employee, training_fact, training_history
 from tenure.schemas import DIM_EMPLOYEE_TABLE, FACT_TABLE
-from tenure.session import release_materialized
+from tenure.session import scratch_scope
 from tenure.sinks.audit import Audit
 from tenure.sinks.export import export_csv
 from tenure.sinks.replace import Written, new_run_id, replace_table
@@ -65,7 +65,7 @@ def run_etl(
         dim = load_dim_employee(employee, root, as_text=as_text, run_id=run_id, table=prefix + DIM_EMPLOYEE_TABLE)
         step.rows = dim.rows
 
-    with audit.step("write_training_history_csv") as step:
+    with audit.step("write_training_history_csv") as step, scratch_scope(spark):
         wide = training_history(employee, history, key_mode=key_mode, golden=golden_csv)
         csv = export_csv(wide, HISTORY_CSV, root, run_id=run_id)
         step.rows = csv.rows
@@ -77,7 +77,4 @@ def run_etl(
         fact = replace_table(fact_df, prefix + FACT_TABLE, root, run_id=run_id)
         step.rows = fact.rows
 
-    # Intermediate tables (range positions for the row index) are no longer needed.
-    release_materialized(spark)
-
     return EtlRun(run_id, dim, csv, fact, audit)

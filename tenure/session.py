@@ -9,6 +9,7 @@ back to a folder below the warehouse directory.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,20 +74,29 @@ def new_run_folder(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-_WRITTEN: list[str] = []
+_SCOPES: list[list[str]] = []
 
 
-def release_materialized(spark: SparkSession) -> None:
-    """Delete the intermediate tables written by ``materialize`` in this process.
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, on leaving, the intermediate tables ``materialize`` wrote inside.
 
-    Call once the results that read them have been written (the batch job does
-    this at its end); DataFrames built on them cannot be evaluated afterwards.
+    For a job whose outputs are written before the block ends (the batch job);
+    DataFrames built on those intermediates cannot be evaluated afterwards.
+    Intermediates written outside any scope are left to the work folder's
+    retention.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(conf).delete(path, True)
+    written: list[str] = []
+    _SCOPES.append(written)
+    try:
+        yield written
+    finally:
+        _SCOPES.remove(written)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in written:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -99,5 +109,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_run_folder(spark, label)
     df.write.mode("errorifexists").parquet(path)
-    _WRITTEN.append(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.parquet(path)

@@ -119,3 +119,14 @@ def test_read_warehouse_table_by_name_and_path(spark, employee, work_dir):
     assert read_warehouse_table(spark, path, S.EMPLOYEE).count() == 4
     employee.write.mode("overwrite").saveAsTable("wh_emp")
     assert read_warehouse_table(spark, "wh_emp").count() == 4
+
+
+def test_scratch_scope_removes_only_its_intermediates(spark, work_dir):
+    from tenure.session import materialize, scratch_scope
+
+    outside = materialize(spark.range(10), "outside")
+    with scratch_scope(spark) as written:
+        inside = materialize(spark.range(5), "inside")
+        assert inside.count() == 5
+    assert len(written) == 1 and not os.path.exists(written[0].removeprefix("file:"))
+    assert outside.count() == 10
