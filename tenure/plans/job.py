@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from tenure.functions.text import EXACT, stringify
 from tenure.plans.queries import dim_employee, training_fact, training_history
-from tenure.schemas import DIM_EMPLOYEE_TABLE, FACT_TABLE
+from tenure.schemas import DIM_EMPLOYEE_TABLE, FACT_TABLE, KEY
 from tenure.session import scratch_scope
 from tenure.sinks.audit import Audit
 from tenure.sinks.export import export_csv
@@ -38,9 +38,22 @@ class EtlRun:
     audit: Audit
 
 
-def load_dim_employee(employee: DataFrame, root: str, *, as_text: bool = False, run_id: str | None = None, table: str = DIM_EMPLOYEE_TABLE) -> Written:
-    """Replace the employee dimension with the current extract."""
-    return replace_table(dim_employee(employee, as_text=as_text), table, root, run_id=run_id)
+def load_dim_employee(
+    employee: DataFrame,
+    root: str,
+    *,
+    as_text: bool = False,
+    run_id: str | None = None,
+    table: str = DIM_EMPLOYEE_TABLE,
+    buckets: int | None = None,
+) -> Written:
+    """Replace the employee dimension with the current extract.
+
+    ``buckets`` stores it bucketed by ``EmployeeId``, so queries joining it to
+    a history bucketed alike run without a shuffle.
+    """
+    bucket_by = (buckets, [KEY]) if buckets else None
+    return replace_table(dim_employee(employee, as_text=as_text), table, root, run_id=run_id, bucket_by=bucket_by)
 
 
 def run_etl(
@@ -54,15 +67,24 @@ def run_etl(
     run_id: str | None = None,
     audit_path: str | None = None,
     database: str | None = None,
+    buckets: int | None = None,
 ) -> EtlRun:
-    """Run the whole job once. ``root`` is the shared warehouse folder."""
+    """Run the whole job once. ``root`` is the shared warehouse folder.
+
+    ``buckets`` stores the dimension bucketed by ``EmployeeId`` and the fact by
+    ``Id_Employee`` (for shuffle-free joins downstream).
+    """
     spark = employee.sparkSession
     run_id = run_id or new_run_id()
     audit = Audit(spark, audit_path or f"{root.rstrip('/')}/etl_audit", run_id)
     prefix = f"{database}." if database else ""
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     with audit.step("load_dim_employee") as step:
-        dim = load_dim_employee(employee, root, as_text=as_text, run_id=run_id, table=prefix + DIM_EMPLOYEE_TABLE)
+        dim = load_dim_employee(
+            employee, root, as_text=as_text, run_id=run_id, table=prefix + DIM_EMPLOYEE_TABLE, buckets=buckets
+        )
         step.rows = dim.rows
 
     with audit.step("write_training_history_csv") as step, scratch_scope(spark):
@@ -74,7 +96,8 @@ def run_etl(
         fact_df = training_fact(employee, history, key_mode=key_mode)
         if as_text:
             fact_df = stringify(fact_df)
-        fact = replace_table(fact_df, prefix + FACT_TABLE, root, run_id=run_id)
+        fact_buckets = (buckets, ["Id_Employee"]) if buckets else None
+        fact = replace_table(fact_df, prefix + FACT_TABLE, root, run_id=run_id, bucket_by=fact_buckets)
         step.rows = fact.rows
 
     return EtlRun(run_id, dim, csv, fact, audit)

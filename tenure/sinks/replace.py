@@ -49,10 +49,14 @@ def replace_table(
     options: dict[str, str] | None = None,
     register: bool = True,
     keep: int = 2,
+    bucket_by: tuple[int, list[str]] | None = None,
 ) -> Written:
     """Write ``df`` as the new version of ``table`` and switch to it.
 
     ``register=False`` writes the version folder only (for file exports).
+    ``bucket_by=(n, columns)`` stores the table hash-bucketed and sorted on
+    ``columns``: later joins, windows and aggregates on those columns between
+    tables bucketed alike read without any shuffle.
     Returns where it landed and how many rows were written.
     """
     spark = df.sparkSession
@@ -61,21 +65,43 @@ def replace_table(
     table_root = f"{root.rstrip('/')}/{table.split('.')[-1]}"
     path = f"{table_root}/{VERSION_PREFIX}{run_id}"
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    (
-        df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.format(fmt)
-        .options(**options)
-        .mode("errorifexists")
-        .save(path)
-    )
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).options(**options)
+    if bucket_by is None:
+        writer.mode("errorifexists").save(path)
+    else:
+        if not register:
+            raise ValueError("bucketed output needs a catalog table (register=True)")
+        n, cols = bucket_by
+        staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
+        writer.bucketBy(n, *cols).sortBy(*cols).option("path", path).mode("errorifexists").saveAsTable(staging)
     rows = int(obs.get["rows"])
-    if register:
+    if bucket_by is not None:
+        _swap_staging(spark, table, staging, path)
+    elif register:
         _point_table(spark, table, path, fmt, options, df.schema)
     if keep:
         _prune_versions(spark, table_root, keep)
     return Written(table, path, fmt, rows, options)
 
 
+def _layout(spark: SparkSession, table: str) -> tuple:
+    """Schema and bucketing of a catalog table, for deciding if a repoint suffices."""
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    keys = ("Num Buckets", "Bucket Columns", "Sort Columns", "Provider")
+    return (spark.table(table).schema.simpleString(), *(info.get(k) for k in keys))
+
+
+def _swap_staging(spark: SparkSession, table: str, staging: str, path: str) -> None:
+    """Make ``table`` serve the files of the (external) staging table."""
+    if spark.catalog.tableExists(table) and _layout(spark, table) == _layout(spark, staging):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.sql(f"REFRESH TABLE {table}")
+        spark.sql(f"DROP TABLE {staging}")  # external: its files are now the table's
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+
+
 def _point_table(spark: SparkSession, table: str, path: str, fmt: str, options: dict[str, str], schema) -> None:
     opts = "".join(f", '{k}' '{v}'" for k, v in options.items())
     create = f"CREATE TABLE {table} USING {fmt} OPTIONS (path '{path}'{opts})"

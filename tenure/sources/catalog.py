@@ -27,6 +27,7 @@ def copy_tables(
     *,
     prefix: str = "src_",
     run_id: str | None = None,
+    bucket_by: dict[str, tuple[int, list[str]]] | None = None,
 ) -> DataFrame:
     """Copy each named table to ``<root>/<prefix><name>`` with a staged full replace.
 
@@ -34,11 +35,14 @@ def copy_tables(
     the write, not by a second scan. Returns ``(table_name, target, rows_copied)``
     read back from the written copies, so the answer reflects what landed.
     The list is of table names; the copy never iterates over cell values.
+    ``bucket_by`` maps a table name to ``(buckets, columns)`` for copies that
+    later queries join on those columns.
     """
     copies = []
     for name in names:
         target = f"{prefix}{name}"
-        written = replace_table(read(name), target, root, run_id=run_id)
+        spec = (bucket_by or {}).get(name)
+        written = replace_table(read(name), target, root, run_id=run_id, bucket_by=spec)
         copies.append(
             written.path_frame(spark).agg(F.count(F.lit(1)).alias("rows_copied")).select(
                 F.lit(name).alias("table_name"), F.lit(target).alias("target"), "rows_copied"

@@ -89,3 +89,20 @@ def test_hot_keys_leave_the_window_and_join_broadcast_sides(tables, no_broadcast
     assert "Window [row_number()" not in hot
     assert "BroadcastHashJoin [_part" in hot
     assert hot.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in hot.split("InMemoryRelation")[0]
+
+
+def test_bucketed_tables_need_no_shuffle(spark, work_dir, no_broadcast):
+    from tenure.sinks.replace import replace_table
+
+    root = f"{work_dir}/bucketed"
+    emp, hist = employee_standin(spark, SF), history_standin(spark, SF)
+    for _ in range(2):  # the second run repoints the existing bucketed tables
+        replace_table(emp, "emp_b", root, bucket_by=(8, ["EmployeeId"]))
+        replace_table(hist, "hist_b", root, bucket_by=(8, ["EmployeeId"]))
+    e, h = spark.table("emp_b"), spark.table("hist_b")
+    assert e.count() == emp.count() and h.count() == hist.count()
+    for df in (Q.training_history(e, h), Q.latest_position(e, h), Q.training_fact(e, h)):
+        plan = plan_text(df)
+        assert "Bucketed: true" in plan
+        assert "Exchange" not in plan
+    assert sorted(Q.training_history(e, h).collect()) == sorted(Q.training_history(emp, hist).collect())

@@ -130,3 +130,11 @@ def test_scratch_scope_removes_only_its_intermediates(spark, work_dir):
         assert inside.count() == 5
     assert len(written) == 1 and not os.path.exists(written[0].removeprefix("file:"))
     assert outside.count() == 10
+
+
+def test_run_etl_bucketed_outputs(spark, employee, sheet_history, work_dir):
+    run_etl(employee, sheet_history, f"{work_dir}/dwh-b", database="bucketed_dwh", buckets=4)
+    for table, col in (("bucketed_dwh.DimEmployee", "EmployeeId"), ("bucketed_dwh.FactTrainingDays", "Id_Employee")):
+        info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        assert info["Num Buckets"] == "4" and col in info["Bucket Columns"]
+    assert rows(spark.table("bucketed_dwh.FactTrainingDays")) == [(1, 1, 58), (2, 3, 58), (3, 5, 58)]
