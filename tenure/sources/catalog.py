@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ def copy_tables(
     prefix: str = "src_",
     run_id: str | None = None,
     bucket_by: dict[str, tuple[int, list[str]]] | None = None,
+    parallel: int = 4,
 ) -> DataFrame:
     """Copy each named table to ``<root>/<prefix><name>`` with a staged full replace.
 
@@ -36,20 +38,23 @@ def copy_tables(
     read back from the written copies, so the answer reflects what landed.
     The list is of table names; the copy never iterates over cell values.
     ``bucket_by`` maps a table name to ``(buckets, columns)`` for copies that
-    later queries join on those columns.
+    later queries join on those columns. Up to ``parallel`` copies run as
+    concurrent Spark jobs, so many small tables do not leave the cluster idle.
     """
-    copies = []
-    for name in names:
+    names = list(names)
+    if not names:
+        raise ValueError("no tables to copy")
+
+    def one(name: str) -> DataFrame:
         target = f"{prefix}{name}"
         spec = (bucket_by or {}).get(name)
         written = replace_table(read(name), target, root, run_id=run_id, bucket_by=spec)
-        copies.append(
-            written.path_frame(spark).agg(F.count(F.lit(1)).alias("rows_copied")).select(
-                F.lit(name).alias("table_name"), F.lit(target).alias("target"), "rows_copied"
-            )
+        return written.path_frame(spark).agg(F.count(F.lit(1)).alias("rows_copied")).select(
+            F.lit(name).alias("table_name"), F.lit(target).alias("target"), "rows_copied"
         )
-    if not copies:
-        raise ValueError("no tables to copy")
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(names)))) as pool:
+        copies = list(pool.map(one, names))  # results in the order of names; errors re-raised
     out = copies[0]
     for c in copies[1:]:
         out = out.unionByName(c)
