@@ -129,7 +129,7 @@ HISTORY_CSV_SCHEMA = T.StructType(
         T.StructField("StartDate", T.DateType()),
         T.StructField("EndDate", T.DateType()),
         T.StructField("training_day_duration", T.IntegerType()),
-        T.StructField("rn", T.IntegerType()),
+        T.StructField("rn", T.LongType()),
     ]
 )
 
@@ -196,7 +196,7 @@ _NUMBERED = """
   select Id as Id_PositionHistory, PosTitle, EmployeeId, StartDate, EndDate,
          cast(date_diff('day', StartDate, EndDate) as integer) as training_day_duration,
          cast(row_number() over (partition by EmployeeId
-                                 order by StartDate asc nulls last, Id asc) as integer) as rn
+                                 order by StartDate asc nulls last, Id asc) as bigint) as rn
   from position_history where EmployeeId is not null)
 """
 
@@ -250,28 +250,28 @@ having count(*) > 1 or Id is null
 """
 
 _CHECK_NOT_NULL = """
-select 'Employee' as table_name, 'Id' as column_name, count_if(Id is null) as null_rows from employee
-union all select 'Employee', 'EmployeeId', count_if(EmployeeId is null) from employee
-union all select 'Employee', 'FullName', count_if(FullName is null) from employee
-union all select 'PositionHistory', 'Id', count_if(Id is null) from position_history
-union all select 'PositionHistory', 'PosTitle', count_if(PosTitle is null) from position_history
-union all select 'PositionHistory', 'EmployeeId', count_if(EmployeeId is null) from position_history
-union all select 'PositionHistory', 'StartDate', count_if(StartDate is null) from position_history
-union all select 'PositionHistory', 'EndDate', count_if(EndDate is null) from position_history
+select 'Employee' as table_name, 'Id' as column_name, cast(count_if(Id is null) as bigint) as null_rows from employee
+union all select 'Employee', 'EmployeeId', cast(count_if(EmployeeId is null) as bigint) from employee
+union all select 'Employee', 'FullName', cast(count_if(FullName is null) as bigint) from employee
+union all select 'PositionHistory', 'Id', cast(count_if(Id is null) as bigint) from position_history
+union all select 'PositionHistory', 'PosTitle', cast(count_if(PosTitle is null) as bigint) from position_history
+union all select 'PositionHistory', 'EmployeeId', cast(count_if(EmployeeId is null) as bigint) from position_history
+union all select 'PositionHistory', 'StartDate', cast(count_if(StartDate is null) as bigint) from position_history
+union all select 'PositionHistory', 'EndDate', cast(count_if(EndDate is null) as bigint) from position_history
 """
 
 _CHECK_LENGTH = """
 select 'Employee' as table_name, 'EmployeeId' as column_name,
        cast(max(length(EmployeeId)) as integer) as max_length, 10 as length_limit,
-       count_if(length(EmployeeId) > 10) as too_long from employee
+       cast(count_if(length(EmployeeId) > 10) as bigint) as too_long from employee
 union all select 'Employee', 'FullName', cast(max(length(FullName)) as integer), 100,
-       count_if(length(FullName) > 100) from employee
+       cast(count_if(length(FullName) > 100) as bigint) from employee
 union all select 'Employee', 'Address', cast(max(length(Address)) as integer), 500,
-       count_if(length(Address) > 500) from employee
+       cast(count_if(length(Address) > 500) as bigint) from employee
 union all select 'PositionHistory', 'PosTitle', cast(max(length(PosTitle)) as integer), 100,
-       count_if(length(PosTitle) > 100) from position_history
+       cast(count_if(length(PosTitle) > 100) as bigint) from position_history
 union all select 'PositionHistory', 'EmployeeId', cast(max(length(EmployeeId)) as integer), 10,
-       count_if(length(EmployeeId) > 10) from position_history
+       cast(count_if(length(EmployeeId) > 10) as bigint) from position_history
 """
 
 _COPY_TABLES = """

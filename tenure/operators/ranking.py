@@ -178,6 +178,8 @@ def number_by_ranges(
        partitions of each group: at most partitions + groups rows, broadcast
        when measured under ``tenure.maxBroadcastRows``.
     4. Number = rows of the group in earlier partitions + position within it.
+
+    Numbers are 64-bit. Rows with a null key are dropped (filter them first).
     """
     spark = df.sparkSession
     orders = [F.col(k).asc_nulls_last() for k in keys] + sort_orders(order, descending)
@@ -208,8 +210,7 @@ def number_by_ranges(
         small = True  # at most one row per range partition
     numbered = stored.join(F.broadcast(spans) if small else spans, ["_part", *keys])
     value = F.col("_before") + F.col("_local") - F.col("_first") + F.lit(start)
-    out_type = "int" if keys else "bigint"
-    return numbered.withColumn(name, value.cast(out_type)).select(*df.columns, name)
+    return numbered.withColumn(name, value.cast("bigint")).select(*df.columns, name)
 
 
 def number_within(
@@ -221,7 +222,7 @@ def number_within(
     descending: bool = False,
     min_hot_rows: int | None = None,
 ) -> DataFrame:
-    """Exact ``row_number()`` over (partition by keys order by order, nulls last).
+    """Exact ``row_number()`` over (partition by keys order by order, nulls last), 64-bit.
 
     Rows with a null key get no number and are dropped, as a join on the key
     would drop them anyway. Ordinary groups go through one window; hot groups
@@ -232,7 +233,7 @@ def number_within(
     df = df.filter(all_not_null(keys))
     split = split_hot_groups(df, keys, min_hot_rows)
     w = Window.partitionBy(*keys).orderBy(*sort_orders(order, descending))
-    out = split.normal.withColumn(name, F.row_number().over(w))
+    out = split.normal.withColumn(name, F.row_number().over(w).cast("bigint"))
     if split.hot is not None:
         ranged = number_by_ranges(
             split.hot, keys, order, name=name, descending=descending,

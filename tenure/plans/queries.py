@@ -166,7 +166,8 @@ def training_history(
     h = _history_with_duration(hist, key_mode)
     split = split_hot_groups(h, [K], min_hot_rows)
     w = Window.partitionBy(K).orderBy(*sort_orders(TRAINING_ORDER))
-    numbered = split.normal.withColumn("rn", F.row_number().over(w))
+    # 64-bit: one employee may hold more positions than an int can count.
+    numbered = split.normal.withColumn("rn", F.row_number().over(w).cast("bigint"))
     if split.hot is None:
         wide = e.join(numbered, K, "left")
     else:
