@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tenure import schemas as S
+from tenure.functions.text import CASE_INSENSITIVE
 from tenure.operators.checks import duplicate_keys, length_violations, null_counts
 from tenure.plans import queries as Q
 from tenure.plans.job import run_etl
@@ -44,6 +45,11 @@ def _current_position(spark, sf_dir):
     return Q.current_position(*_inputs(spark, sf_dir), AS_OF)
 
 
+def _current_position_ci(spark, sf_dir):
+    # Keys matched as the source database collation does (case, trailing blanks).
+    return Q.current_position(*_inputs(spark, sf_dir), AS_OF, key_mode=CASE_INSENSITIVE)
+
+
 def _latest_position(spark, sf_dir):
     return Q.latest_position(*_inputs(spark, sf_dir))
 
@@ -56,6 +62,10 @@ def _training_history(spark, sf_dir):
     return Q.training_history(*_inputs(spark, sf_dir))
 
 
+def _training_history_golden(spark, sf_dir):
+    return Q.training_history(*_inputs(spark, sf_dir), golden=True)
+
+
 def _training_fact(spark, sf_dir):
     return Q.training_fact(*_inputs(spark, sf_dir))
 
@@ -145,9 +155,11 @@ def _etl_audit(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "current_position": _current_position,
+        "current_position_ci": _current_position_ci,
         "latest_position": _latest_position,
         "latest_position_literal": _latest_position_literal,
         "training_history": _training_history,
+        "training_history_golden": _training_history_golden,
         "training_fact": _training_fact,
         "training_periods": _training_periods,
         "csv_row_index": _csv_row_index,
@@ -170,6 +182,13 @@ from employee e join position_history h on e.EmployeeId = h.EmployeeId
 where date '{AS_OF}' between h.StartDate and h.EndDate
 """
 
+_CURRENT_CI = f"""
+select e.EmployeeId, e.FullName, e.Address, h.PosTitle, h.EmployeeId as PhEmployeeId,
+       h.StartDate, h.EndDate
+from employee e join position_history h on lower(rtrim(e.EmployeeId)) = lower(rtrim(h.EmployeeId))
+where date '{AS_OF}' between h.StartDate and h.EndDate
+"""
+
 _LATEST = """
 , ranked as (
   select *, row_number() over (partition by EmployeeId
@@ -207,6 +226,14 @@ select e.Id as Id_Employee, e.EmployeeId, e.FullName, e.Address, n.Id_PositionHi
 from employee e left join numbered n on e.EmployeeId = n.EmployeeId
 """
 
+_TRAINING_HISTORY_GOLDEN = f"""
+{_NUMBERED}
+select e.Id as Id_Employee, e.EmployeeId, e.FullName, e.Address, n.Id_PositionHistory,
+       n.PosTitle, n.StartDate, n.EndDate, cast(n.training_day_duration as double) as training_day_duration,
+       cast(n.rn as double) as rn
+from employee e left join numbered n on e.EmployeeId = n.EmployeeId
+"""
+
 _TRAINING_FACT = f"""
 {_NUMBERED}
 select e.Id as Id_Employee, n.Id_PositionHistory, n.training_day_duration
@@ -294,9 +321,11 @@ from employee e join numbered n on e.EmployeeId = n.EmployeeId where n.rn = 1
 def oracle_sql() -> dict[str, str]:
     return {
         "current_position": oracle_with(_CURRENT),
+        "current_position_ci": oracle_with(_CURRENT_CI),
         "latest_position": oracle_with(_LATEST),
         "latest_position_literal": oracle_with(_LATEST_LITERAL),
         "training_history": oracle_with(_TRAINING_HISTORY),
+        "training_history_golden": oracle_with(_TRAINING_HISTORY_GOLDEN),
         "training_fact": oracle_with(_TRAINING_FACT),
         "training_periods": oracle_with(_TRAINING_PERIODS),
         "csv_row_index": oracle_with(_CSV_ROW_INDEX),
