@@ -26,6 +26,7 @@ from tenure.sinks.audit import Audit
 from tenure.sinks.export import export_csv
 from tenure.sinks.replace import Written, new_run_id, replace_table
 
+# Fixed value: the name of the exported wide history, as users of the job expect it.
 HISTORY_CSV = "historical_training_data"
 
 
