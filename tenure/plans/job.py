@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tenure.functions.text import EXACT, stringify
-from tenure.plans.queries import dim_employee, training_fact, training_history
+from tenure.plans.queries import CSV_ORDER, dim_employee, training_fact, training_history
 from tenure.schemas import DIM_EMPLOYEE_TABLE, FACT_TABLE, KEY
 from tenure.session import scratch_scope
 from tenure.sinks.audit import Audit
@@ -69,11 +69,14 @@ def run_etl(
     audit_path: str | None = None,
     database: str | None = None,
     buckets: int | None = None,
+    csv_index: bool = True,
 ) -> EtlRun:
     """Run the whole job once. ``root`` is the shared warehouse folder.
 
     ``buckets`` stores the dimension bucketed by ``EmployeeId`` and the fact by
-    ``Id_Employee`` (for shuffle-free joins downstream).
+    ``Id_Employee`` (for shuffle-free joins downstream). ``csv_index=False``
+    leaves the row index out of the CSV; the index costs one extra write of the
+    wide history (positions are stored before numbering).
     """
     spark = employee.sparkSession
     run_id = run_id or new_run_id()
@@ -90,7 +93,7 @@ def run_etl(
 
     with audit.step("write_training_history_csv") as step, scratch_scope(spark):
         wide = training_history(employee, history, key_mode=key_mode, golden=golden_csv)
-        csv = export_csv(wide, HISTORY_CSV, root, run_id=run_id)
+        csv = export_csv(wide, HISTORY_CSV, root, run_id=run_id, index_order=CSV_ORDER if csv_index else None)
         step.rows = csv.rows
 
     with audit.step("load_fact_training_days") as step:

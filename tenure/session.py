@@ -55,6 +55,32 @@ def build_session(
     return spark
 
 
+def sized_conf(
+    input_bytes: int,
+    *,
+    target_partition_bytes: int = 256 << 20,
+    cores: int | None = None,
+    max_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Partition settings for an input of ``input_bytes`` (on-disk, compressed).
+
+    Shuffle partitions start at about two per target-sized slice of the input
+    (shuffled rows are wider than compressed columns), never below the core
+    count and never above ``max_partitions`` (map statuses and shuffle files
+    grow with mappers times reducers). AQE then merges partitions towards the
+    advisory size, so starting high costs little and keeps sort, window and
+    join partitions within executor memory instead of spilling heavily.
+    """
+    slices = max(1, -(-input_bytes // target_partition_bytes))
+    partitions = min(max(2 * slices, cores or 1), max(max_partitions, cores or 1))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(spark.conf.get(key, str(default)))
 

@@ -138,3 +138,19 @@ def test_run_etl_bucketed_outputs(spark, employee, sheet_history, work_dir):
         info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
         assert info["Num Buckets"] == "4" and col in info["Bucket Columns"]
     assert rows(spark.table("bucketed_dwh.FactTrainingDays")) == [(1, 1, 58), (2, 3, 58), (3, 5, 58)]
+
+
+def test_sized_conf():
+    from tenure.session import sized_conf
+
+    big = sized_conf(100 * 2**40)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    small = sized_conf(10 * 2**20, cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(small["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 256 << 20
+
+
+def test_run_etl_without_csv_index(spark, employee, sheet_history, work_dir):
+    run = run_etl(employee, sheet_history, f"{work_dir}/dwh-noindex", csv_index=False)
+    header = spark.read.text(run.history_csv.path).first().value
+    assert header.startswith("Id_Employee,") and run.history_csv.rows == 7
