@@ -2,9 +2,11 @@
 
 Order and failure rules:
 
-1. the employee extract is written as the dimension (staged full replace);
-2. the wide training history is written as CSV with a row index;
-3. only then the training fact is written (staged full replace).
+1. the employee extract is written as the dimension (staged full replace),
+   and, as an independent job running at the same time, the wide training
+   history is written as CSV with a row index;
+2. only when both have succeeded is the training fact written (staged full
+   replace).
 
 Any step that fails is recorded as failed and the run raises, so a run never
 ends "successful" with a new dimension beside an old fact unnoticed, and a
@@ -14,6 +16,7 @@ row counts are observed during the writes.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -85,16 +88,28 @@ def run_etl(
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
-    with audit.step("load_dim_employee") as step:
-        dim = load_dim_employee(
-            employee, root, as_text=as_text, run_id=run_id, table=prefix + DIM_EMPLOYEE_TABLE, buckets=buckets
-        )
-        step.rows = dim.rows
-
-    with audit.step("write_training_history_csv") as step, scratch_scope(spark):
-        wide = training_history(employee, history, key_mode=key_mode, golden=golden_csv)
-        csv = export_csv(wide, HISTORY_CSV, root, run_id=run_id, index_order=CSV_ORDER if csv_index else None)
-        step.rows = csv.rows
+    def dim_step() -> Written:
+        with audit.step("load_dim_employee") as step:
+            dim = load_dim_employee(
+                employee, root, as_text=as_text, run_id=run_id, table=prefix + DIM_EMPLOYEE_TABLE, buckets=buckets
+            )
+            step.rows = dim.rows
+        return dim
+
+    def csv_step() -> Written:
+        with audit.step("write_training_history_csv") as step, scratch_scope(spark):
+            wide = training_history(employee, history, key_mode=key_mode, golden=golden_csv)
+            csv = export_csv(wide, HISTORY_CSV, root, run_id=run_id, index_order=CSV_ORDER if csv_index else None)
+            step.rows = csv.rows
+        return csv
+
+    # Independent Spark jobs: run them side by side, then fail if either failed.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        futures = [pool.submit(dim_step), pool.submit(csv_step)]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
+    dim, csv = (f.result() for f in futures)
 
     with audit.step("load_fact_training_days") as step:
         fact_df = training_fact(employee, history, key_mode=key_mode)

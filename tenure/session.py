@@ -8,6 +8,7 @@ back to a folder below the warehouse directory.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -100,7 +101,13 @@ def new_run_folder(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-_SCOPES: list[list[str]] = []
+_LOCAL = threading.local()  # scopes are per thread: concurrent jobs keep their own
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
 
 
 @contextmanager
@@ -113,11 +120,11 @@ def scratch_scope(spark: SparkSession):
     retention.
     """
     written: list[str] = []
-    _SCOPES.append(written)
+    _scopes().append(written)
     try:
         yield written
     finally:
-        _SCOPES.remove(written)
+        _scopes().remove(written)
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for p in written:
@@ -135,6 +142,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_run_folder(spark, label)
     df.write.mode("errorifexists").parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if _scopes():
+        _scopes()[-1].append(path)
     return spark.read.parquet(path)

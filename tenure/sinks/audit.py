@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,11 +40,14 @@ class Audit:
 
     def __init__(self, spark: SparkSession, path: str, run_id: str) -> None:
         self.spark, self.path, self.run_id, self.seq = spark, path, run_id, 0
+        self._lock = threading.Lock()
 
     def _append(self, step, status, started, finished, rows, detail) -> None:
-        self.seq += 1
-        row = (self.run_id, self.seq, step, status, started, finished, rows, detail)
-        self.spark.createDataFrame([row], AUDIT_SCHEMA).write.mode("append").parquet(self.path)
+        # Steps may finish concurrently; appends to one folder are serialised.
+        with self._lock:
+            self.seq += 1
+            row = (self.run_id, self.seq, step, status, started, finished, rows, detail)
+            self.spark.createDataFrame([row], AUDIT_SCHEMA).write.mode("append").parquet(self.path)
 
     @contextmanager
     def step(self, name: str):
