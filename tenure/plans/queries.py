@@ -80,7 +80,8 @@ def current_position(
 def latest_per_employee(hist: DataFrame, key_mode: str = EXACT) -> DataFrame:
     """The latest position per key: greatest start (nulls last), ties to the greater Id."""
     h = _history_for_lookup(hist, key_mode)
-    return first_per_group(h, [K], ["StartDate", "_hid"], descending=True)
+    carry = [c for c in h.columns if c not in (K, "_hid")]
+    return first_per_group(h, [K], ["StartDate", "_hid"], descending=True, carry=carry)
 
 
 def latest_position(
@@ -102,7 +103,7 @@ def latest_position(
     """
     e_attrs = present(EMPLOYEE_ATTRS, emp.columns)
     out = [*e_attrs, *_position_columns(hist)]
-    latest = latest_per_employee(hist, key_mode).drop("_hid")
+    latest = latest_per_employee(hist, key_mode)
     if not literal:
         e = with_join_key(emp.select(*e_attrs), KEY, key_mode)
         return e.join(latest, K, "left").select(*out)
@@ -199,9 +200,13 @@ def _join_hot_employees(e: DataFrame, hot: DataFrame, split) -> DataFrame:
     return hot.join(side, K, "inner")
 
 
-def first_positions(hist: DataFrame, key_mode: str = EXACT) -> DataFrame:
-    """Each key's first position (earliest start, nulls last, ties by smaller Id)."""
-    return first_per_group(_history_with_duration(hist, key_mode), [K], TRAINING_ORDER)
+def first_positions(hist: DataFrame, key_mode: str = EXACT, carry: list[str] | None = None) -> DataFrame:
+    """Each key's first position (earliest start, nulls last, ties by smaller Id).
+
+    ``carry`` limits the columns held in the aggregation buffer to those the
+    caller outputs; Catalyst cannot prune fields inside an aggregate's buffer.
+    """
+    return first_per_group(_history_with_duration(hist, key_mode), [K], TRAINING_ORDER, carry=carry)
 
 
 def training_fact(emp: DataFrame, hist: DataFrame, *, key_mode: str = EXACT) -> DataFrame:
@@ -211,13 +216,15 @@ def training_fact(emp: DataFrame, hist: DataFrame, *, key_mode: str = EXACT) ->
     position comes from an aggregate, so no window and no full ordinal.
     """
     e = _employee_for_training(emp, key_mode)
-    return e.join(first_positions(hist, key_mode), K, "inner").select(*TRAINING_FACT_COLUMNS)
+    first = first_positions(hist, key_mode, carry=["Id_PositionHistory", "training_day_duration"])
+    return e.join(first, K, "inner").select(*TRAINING_FACT_COLUMNS)
 
 
 def training_periods(emp: DataFrame, hist: DataFrame, *, key_mode: str = EXACT) -> DataFrame:
     """(EmployeeId, StartDate, EndDate, training_day_duration) of the first position."""
     e = _employee_for_training(emp, key_mode)
-    return e.join(first_positions(hist, key_mode), K, "inner").select(*TRAINING_PERIOD_COLUMNS)
+    first = first_positions(hist, key_mode, carry=["StartDate", "EndDate", "training_day_duration"])
+    return e.join(first, K, "inner").select(*TRAINING_PERIOD_COLUMNS)
 
 
 CSV_ORDER = ["Id_Employee", "EmployeeId", "rn", "Id_PositionHistory"]
