@@ -24,7 +24,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +35,7 @@ from tenure.session import (
     ROWS_PER_RANGE,
     ROWS_PER_RANGE_DEFAULT,
     conf_int,
+    keep,
     materialize,
 )
 
@@ -137,11 +137,10 @@ def split_hot_groups(df: DataFrame, keys: list[str], min_rows: int | None = None
         min_rows = conf_int(spark, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT)
     if min_rows <= 0:
         return HotSplit(df, None, None, True)
-    hot_keys = (
+    hot_keys = keep(
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") >= F.lit(min_rows))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     measured = hot_keys.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).first()
     if measured["n"] == 0:
@@ -204,7 +203,7 @@ def number_by_ranges(
     if keys:
         # partitions + distinct keys rows: small for hot keys, but measured
         # before broadcasting since a caller may pass any number of keys.
-        spans = spans.persist(StorageLevel.MEMORY_AND_DISK)
+        spans = keep(spans)
         small = spans.count() <= conf_int(spark, MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT)
     else:
         small = True  # at most one row per range partition

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +26,7 @@ from tenure.operators.ranking import (
     split_hot_groups,
 )
 from tenure.operators.temporal import valid_at
-from tenure.session import MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT, conf_int
+from tenure.session import MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT, conf_int, keep
 from tenure.schemas import (
     EMPLOYEE_ATTRS,
     KEY,
@@ -194,7 +193,7 @@ def _join_hot_employees(e: DataFrame, hot: DataFrame, split) -> DataFrame:
     partitions AQE splits.
     """
     spark = e.sparkSession
-    e_hot = e.join(split.keys_side([K]), K, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+    e_hot = keep(e.join(split.keys_side([K]), K, "left_semi"))
     limit = conf_int(spark, MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT)
     side = F.broadcast(e_hot) if e_hot.count() <= limit else e_hot
     return hot.join(side, K, "inner")

@@ -12,6 +12,7 @@ import threading
 import uuid
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings we rely on: runtime re-planning (partition coalescing, skewed join
@@ -104,32 +105,48 @@ def new_run_folder(spark: SparkSession, label: str) -> str:
 _LOCAL = threading.local()  # scopes are per thread: concurrent jobs keep their own
 
 
-def _scopes() -> list[list[str]]:
+def _scopes() -> list[list]:
     if not hasattr(_LOCAL, "scopes"):
         _LOCAL.scopes = []
     return _LOCAL.scopes
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a small, deterministic intermediate (memory, spilling to disk).
+
+    Inside a ``scratch_scope`` it is unpersisted when the scope ends; a lost
+    block is recomputed from the same inputs to the same rows.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if _scopes():
+        _scopes()[-1].append(df)
+    return df
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession):
-    """Delete, on leaving, the intermediate tables ``materialize`` wrote inside.
+    """Release, on leaving, the intermediates made inside: delete the tables
+    ``materialize`` wrote and unpersist what ``keep`` persisted.
 
     For a job whose outputs are written before the block ends (the batch job);
     DataFrames built on those intermediates cannot be evaluated afterwards.
-    Intermediates written outside any scope are left to the work folder's
-    retention.
+    Intermediates made outside any scope are left to the work folder's
+    retention and the session's cache.
     """
-    written: list[str] = []
-    _scopes().append(written)
+    made: list = []
+    _scopes().append(made)
     try:
-        yield written
+        yield made
     finally:
-        _scopes().remove(written)
+        _scopes().remove(made)
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for p in written:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
+        for item in made:
+            if isinstance(item, DataFrame):
+                item.unpersist()
+            else:
+                path = jvm.org.apache.hadoop.fs.Path(item)
+                path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -122,11 +122,15 @@ def test_read_warehouse_table_by_name_and_path(spark, employee, work_dir):
 def test_scratch_scope_removes_only_its_intermediates(spark, work_dir):
     from tenure.session import materialize, scratch_scope
 
+    from tenure.session import keep
+
     outside = materialize(spark.range(10), "outside")
-    with scratch_scope(spark) as written:
+    with scratch_scope(spark) as made:
         inside = materialize(spark.range(5), "inside")
-        assert inside.count() == 5
-    assert len(written) == 1 and not os.path.exists(written[0].removeprefix("file:"))
+        kept = keep(spark.range(3))
+        assert inside.count() == 5 and kept.count() == 3 and kept.is_cached
+    assert len(made) == 2 and not os.path.exists(made[0].removeprefix("file:"))
+    assert not kept.is_cached
     assert outside.count() == 10
 
 
