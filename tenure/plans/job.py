@@ -67,7 +67,7 @@ def run_etl(
     *,
     key_mode: str = EXACT,
     as_text: bool = False,
-    golden_csv: bool = False,
+    golden: bool = False,
     run_id: str | None = None,
     audit_path: str | None = None,
     database: str | None = None,
@@ -79,7 +79,9 @@ def run_etl(
     ``buckets`` stores the dimension bucketed by ``EmployeeId`` and the fact by
     ``Id_Employee`` (for shuffle-free joins downstream). ``csv_index=False``
     leaves the row index out of the CSV; the index costs one extra write of the
-    wide history (positions are stored before numbering).
+    wide history (positions are stored before numbering). ``golden=True``
+    reproduces the source job's number types: day counts, ordinals and the
+    fact's history Id as doubles (with ``as_text``, the text ``58.0``).
     """
     spark = employee.sparkSession
     run_id = run_id or new_run_id()
@@ -98,7 +100,7 @@ def run_etl(
 
     def csv_step() -> Written:
         with audit.step("write_training_history_csv") as step, scratch_scope(spark):
-            wide = training_history(employee, history, key_mode=key_mode, golden=golden_csv)
+            wide = training_history(employee, history, key_mode=key_mode, golden=golden)
             csv = export_csv(wide, HISTORY_CSV, root, run_id=run_id, index_order=CSV_ORDER if csv_index else None)
             step.rows = csv.rows
         return csv
@@ -112,7 +114,7 @@ def run_etl(
     dim, csv = (f.result() for f in futures)
 
     with audit.step("load_fact_training_days") as step:
-        fact_df = training_fact(employee, history, key_mode=key_mode)
+        fact_df = training_fact(employee, history, key_mode=key_mode, golden=golden)
         if as_text:
             fact_df = stringify(fact_df)
         fact_buckets = (buckets, ["Id_Employee"]) if buckets else None

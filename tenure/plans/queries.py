@@ -208,15 +208,24 @@ def first_positions(hist: DataFrame, key_mode: str = EXACT, carry: list[str] | N
     return first_per_group(_history_with_duration(hist, key_mode), [K], TRAINING_ORDER, carry=carry)
 
 
-def training_fact(emp: DataFrame, hist: DataFrame, *, key_mode: str = EXACT) -> DataFrame:
+def training_fact(emp: DataFrame, hist: DataFrame, *, key_mode: str = EXACT, golden: bool = False) -> DataFrame:
     """(Id_Employee, Id_PositionHistory, training_day_duration) for ``rn = 1``.
 
     Same rows as filtering ``training_history`` on ``rn = 1``, but the first
     position comes from an aggregate, so no window and no full ordinal.
+    ``golden=True`` types the two history columns as doubles, as the source
+    job's fact carried them (their text form is then ``1.0``, ``58.0``).
     """
     e = _employee_for_training(emp, key_mode)
     first = first_positions(hist, key_mode, carry=["Id_PositionHistory", "training_day_duration"])
-    return e.join(first, K, "inner").select(*TRAINING_FACT_COLUMNS)
+    fact = e.join(first, K, "inner").select(*TRAINING_FACT_COLUMNS)
+    if golden:
+        fact = fact.select(
+            "Id_Employee",
+            F.col("Id_PositionHistory").cast("double").alias("Id_PositionHistory"),
+            F.col("training_day_duration").cast("double").alias("training_day_duration"),
+        )
+    return fact
 
 
 def training_periods(emp: DataFrame, hist: DataFrame, *, key_mode: str = EXACT) -> DataFrame:

@@ -156,3 +156,14 @@ def test_run_etl_without_csv_index(spark, employee, sheet_history, work_dir):
     run = run_etl(employee, sheet_history, f"{work_dir}/dwh-noindex", csv_index=False)
     header = spark.read.text(run.history_csv.path).first().value
     assert header.startswith("Id_Employee,") and run.history_csv.rows == 7
+
+
+def test_run_etl_golden_text_outputs(spark, employee, sheet_history, work_dir):
+    run = run_etl(employee, sheet_history, f"{work_dir}/dwh-golden", as_text=True, golden=True,
+                  database="golden_dwh")
+    assert rows(spark.table("golden_dwh.FactTrainingDays")) == [
+        ("1", "1.0", "58.0"), ("2", "3.0", "58.0"), ("3", "5.0", "58.0"),
+    ]
+    assert rows(spark.table("golden_dwh.DimEmployee"), "Id", "BirthDate", "Address")[0] == ("1", "1982-08-19", "Jakarta Utara")
+    lines = [r.value for r in spark.read.text(run.history_csv.path).collect()]
+    assert "0,1,10105001,Ali Anton,1982-08-19,Jakarta Utara,1,5000,IT Manager,2022-01-01,2022-02-28,58.0,1.0" in lines
