@@ -91,7 +91,11 @@ def register_sheet_table(
     (``FAILFAST``), as a bad date did in the source job.
     """
     cols = S.ddl(schema)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        if (info.get("Provider") or "").lower() != "csv" or info.get("Type") != "EXTERNAL":
+            raise ValueError(f"{name} exists and is not an external CSV table; not replacing it")
+        spark.sql(f"DROP TABLE {name}")  # external: only the definition goes
     spark.sql(
         f"CREATE TABLE {name} ({cols}) USING csv "
         f"OPTIONS (path '{path}', header '{str(header).lower()}', mode 'FAILFAST', dateFormat '{date_format}')"

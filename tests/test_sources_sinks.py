@@ -167,3 +167,10 @@ def test_run_etl_golden_text_outputs(spark, employee, sheet_history, work_dir):
     assert rows(spark.table("golden_dwh.DimEmployee"), "Id", "BirthDate", "Address")[0] == ("1", "1982-08-19", "Jakarta Utara")
     lines = [r.value for r in spark.read.text(run.history_csv.path).collect()]
     assert "0,1,10105001,Ali Anton,1982-08-19,Jakarta Utara,1,5000,IT Manager,2022-01-01,2022-02-28,58.0,1.0" in lines
+
+
+def test_sheet_table_never_replaces_a_real_table(spark, employee, work_dir):
+    employee.write.mode("overwrite").saveAsTable("real_employee")
+    with pytest.raises(ValueError, match="not an external CSV table"):
+        register_sheet_table(spark, "real_employee", f"{work_dir}/nowhere", S.EMPLOYEE)
+    assert spark.table("real_employee").count() == 4
