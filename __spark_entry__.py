@@ -115,12 +115,18 @@ def _copy_tables(spark, sf_dir):
 
 
 def _etl(spark, sf_dir):
-    """The whole batch job, with the history read through a sheet-backed CSV table."""
+    """The whole batch job, with the history read through a sheet-backed CSV table.
+
+    Each call gets its own folder and database, so runs never touch each
+    other's tables.
+    """
     root = new_run_folder(spark, "dwh")
+    database = "dwh_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     emp, hist = _inputs(spark, sf_dir)
     sheet = replace_table(hist, "position_history_sheet", root, fmt="csv", options={"header": "true"}, register=False)
-    sheet_hist = register_sheet_table(spark, S.DIM_HISTORY_TABLE, sheet.path, hist.schema)
-    return run_etl(emp, sheet_hist, root)
+    sheet_hist = register_sheet_table(spark, f"{database}.{S.DIM_HISTORY_TABLE}", sheet.path, hist.schema)
+    return run_etl(emp, sheet_hist, root, database=database)
 
 
 def _etl_fact_table(spark, sf_dir):
