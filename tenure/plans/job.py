@@ -122,3 +122,59 @@ def run_etl(
         step.rows = fact.rows
 
     return EtlRun(run_id, dim, csv, fact, audit)
+
+
+def _read_source(spark, ref: str):
+    """A table name, a parquet folder, or ``jdbc:<table>`` (connection from Spark conf)."""
+    from tenure.sources.jdbc import read_jdbc
+    from tenure.sources.tables import read_warehouse_table
+
+    if ref.startswith("jdbc:") and "//" not in ref:
+        return read_jdbc(spark, table=ref.removeprefix("jdbc:"))
+    return read_warehouse_table(spark, ref)
+
+
+def main(argv: list[str] | None = None) -> EtlRun:
+    """``spark-submit -m tenure.plans.job --employee ... --history ... --root ...``"""
+    import argparse
+
+    from tenure.schemas import POSITION_HISTORY
+    from tenure.session import build_session
+    from tenure.sources.tables import register_sheet_table
+
+    p = argparse.ArgumentParser(prog="tenure.plans.job", description="Run the position-history batch job once.")
+    p.add_argument("--employee", required=True, help="table, parquet folder, or jdbc:<table>")
+    src = p.add_mutually_exclusive_group(required=True)
+    src.add_argument("--history", help="table, parquet folder, or jdbc:<table>")
+    src.add_argument("--history-sheet", help="folder of CSV files with a header (a sheet export)")
+    p.add_argument("--root", required=True, help="shared warehouse folder for the outputs")
+    p.add_argument("--database")
+    p.add_argument("--key-mode", default=EXACT, choices=["exact", "ci_rtrim"])
+    p.add_argument("--as-text", action="store_true")
+    p.add_argument("--golden", action="store_true")
+    p.add_argument("--buckets", type=int)
+    p.add_argument("--no-csv-index", action="store_true")
+    args = p.parse_args(argv)
+
+    spark = build_session(app_name="tenure-job")
+    employee = _read_source(spark, args.employee)
+    if args.history_sheet:
+        name = f"{args.database}.{HISTORY_SHEET_TABLE}" if args.database else HISTORY_SHEET_TABLE
+        if args.database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
+        history = register_sheet_table(spark, name, args.history_sheet, POSITION_HISTORY)
+    else:
+        history = _read_source(spark, args.history)
+    run = run_etl(
+        employee, history, args.root, key_mode=args.key_mode, as_text=args.as_text, golden=args.golden,
+        database=args.database, buckets=args.buckets, csv_index=not args.no_csv_index,
+    )
+    print(f"run {run.run_id}: dimension {run.dim.rows} rows, history CSV {run.history_csv.rows} rows, "
+          f"fact {run.fact.rows} rows")
+    return run
+
+
+HISTORY_SHEET_TABLE = "DimPositionHistory"
+
+if __name__ == "__main__":
+    main()

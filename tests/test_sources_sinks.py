@@ -174,3 +174,14 @@ def test_sheet_table_never_replaces_a_real_table(spark, employee, work_dir):
     with pytest.raises(ValueError, match="not an external CSV table"):
         register_sheet_table(spark, "real_employee", f"{work_dir}/nowhere", S.EMPLOYEE)
     assert spark.table("real_employee").count() == 4
+
+
+def test_job_command_line(spark, employee, sheet_history, work_dir):
+    from tenure.plans.job import main
+
+    employee.write.mode("overwrite").parquet(f"{work_dir}/cli/employee")
+    sheet_history.write.mode("overwrite").option("header", True).csv(f"{work_dir}/cli/sheet")
+    run = main(["--employee", f"{work_dir}/cli/employee", "--history-sheet", f"{work_dir}/cli/sheet",
+                "--root", f"{work_dir}/cli/dwh", "--database", "cli_dwh"])
+    assert (run.dim.rows, run.history_csv.rows, run.fact.rows) == (4, 7, 3)
+    assert rows(spark.table("cli_dwh.FactTrainingDays")) == [(1, 1, 58), (2, 3, 58), (3, 5, 58)]
