@@ -135,7 +135,7 @@ def _read_source(spark, ref: str):
 
 
 def main(argv: list[str] | None = None) -> EtlRun:
-    """``spark-submit -m tenure.plans.job --employee ... --history ... --root ...``"""
+    """``spark-submit --py-files tenure.zip tenure/plans/job.py --employee ... --history ... --root ...``"""
     import argparse
 
     from tenure.schemas import POSITION_HISTORY
