@@ -126,11 +126,13 @@ def run_etl(
 
 def _read_source(spark, ref: str):
     """A table name, a parquet folder, or ``jdbc:<table>`` (connection from Spark conf)."""
-    from tenure.sources.jdbc import read_jdbc
+    from tenure.session import conf_int
+    from tenure.sources.jdbc import read_jdbc_partitioned
     from tenure.sources.tables import read_warehouse_table
 
     if ref.startswith("jdbc:") and "//" not in ref:
-        return read_jdbc(spark, table=ref.removeprefix("jdbc:"))
+        # Parallel range reads on the declared integer key.
+        return read_jdbc_partitioned(spark, ref.removeprefix("jdbc:"), "Id", conf_int(spark, "tenure.jdbc.partitions", 16))
     return read_warehouse_table(spark, ref)
 
 

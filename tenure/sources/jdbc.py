@@ -61,3 +61,34 @@ def jdbc_options(
 def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
     """Extract a table or query (see ``jdbc_options``)."""
     return spark.read.format("jdbc").options(**jdbc_options(spark, **kwargs)).load()
+
+
+def read_jdbc_partitioned(
+    spark: SparkSession,
+    table: str,
+    column: str,
+    num_partitions: int,
+    **conn,
+) -> DataFrame:
+    """Read ``table`` in ``num_partitions`` parallel range queries on ``column``.
+
+    The key's bounds come from one aggregate query run by the database (a
+    single row comes back); rows outside the bounds would still be read,
+    since Spark's first and last ranges are open-ended. An empty table is
+    read with one query.
+    """
+    bounds = read_jdbc(
+        spark, query=f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}", **conn
+    ).first()
+    if bounds is None or bounds["lo"] is None:
+        return read_jdbc(spark, table=table, **conn)
+    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    return read_jdbc(
+        spark,
+        table=table,
+        partition_column=column,
+        lower_bound=lo,
+        upper_bound=hi + 1,
+        num_partitions=max(1, min(num_partitions, hi - lo + 1)),
+        **conn,
+    )

@@ -185,3 +185,22 @@ def test_job_command_line(spark, employee, sheet_history, work_dir):
                 "--root", f"{work_dir}/cli/dwh", "--database", "cli_dwh"])
     assert (run.dim.rows, run.history_csv.rows, run.fact.rows) == (4, 7, 3)
     assert rows(spark.table("cli_dwh.FactTrainingDays")) == [(1, 1, 58), (2, 3, 58), (3, 5, 58)]
+
+
+def test_read_jdbc_partitioned_asks_for_bounds_then_ranges(spark, monkeypatch):
+    import tenure.sources.jdbc as J
+
+    calls = []
+
+    def fake_read(spark_, **kwargs):
+        calls.append(J.jdbc_options(spark_, url="jdbc:test", **kwargs))
+        if "query" in kwargs:
+            return spark_.createDataFrame([(3, 1002)], "lo long, hi long")
+        return spark_.range(1)
+
+    monkeypatch.setattr(J, "read_jdbc", fake_read)
+    J.read_jdbc_partitioned(spark, "dbo.Employee", "Id", 8)
+    assert "MIN(Id)" in calls[0]["query"]
+    assert {k: calls[1][k] for k in ("dbtable", "partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
+        "dbtable": "dbo.Employee", "partitionColumn": "Id", "lowerBound": "3", "upperBound": "1003", "numPartitions": "8",
+    }
