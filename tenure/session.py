@@ -1,9 +1,10 @@
 """Session settings and the shared work folder.
 
-The work folder holds small intermediate tables (hot-key lists, partition
-offsets) and run outputs. On a cluster it is the shared folder named by
-``spark.checkpoint.dir``; only when that is unset (tests, a laptop) do we fall
-back to a folder below the warehouse directory.
+The work folder holds intermediate tables (rows with their range positions,
+for exact numbering) and, in the registered test queries, run outputs. On a
+cluster it is the shared folder named by ``spark.checkpoint.dir``; only when
+that is unset (tests, a laptop) do we fall back to a folder below the
+warehouse directory, never to a machine-local temporary folder.
 """
 
 from __future__ import annotations
@@ -150,11 +151,13 @@ def scratch_scope(spark: SparkSession):
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a (small) intermediate result once and read it back.
+    """Write an intermediate result once to the shared folder and read it back.
 
-    Used for the inputs of driver decisions such as the hot-key list: the
-    decision and the later join then see the same rows, computed once, and the
-    lineage is cut so a lost executor does not recompute the producing scan.
+    Used where two readers must see identical rows, such as positions taken
+    inside range partitions: stored, they are data rather than a
+    recomputation, and the lineage is cut so a lost executor does not rerun
+    the producing shuffle. Inside a ``scratch_scope`` the files are deleted
+    when the scope ends.
     """
     spark = df.sparkSession
     path = new_run_folder(spark, label)
