@@ -75,7 +75,7 @@ def _training_periods(spark, sf_dir):
 
 
 def _csv_row_index(spark, sf_dir):
-    return Q.with_row_index(Q.training_history(*_inputs(spark, sf_dir)))
+    return Q.training_history(*_inputs(spark, sf_dir), row_index=True)
 
 
 def _dim_employee_text(spark, sf_dir):

@@ -240,3 +240,29 @@ def number_within(
         )
         out = out.unionByName(ranged)
     return out
+
+
+def prefix_by_ranges(df: DataFrame, order: list[str], weight: str, *, name: str = "_before") -> DataFrame:
+    """Sum of ``weight`` over all rows before each row in ``order`` (nulls last).
+
+    The weighted form of ``number_by_ranges``: rows are range-partitioned and
+    their positions stored; per-partition totals (one row per partition) give
+    the offsets, and a window inside each range partition (never more than
+    one partition's rows) gives the running sum. Ties in ``order`` are broken
+    by stored position, so give a unique order for repeatable answers.
+    """
+    orders = sort_orders(order)
+    positioned = (
+        df.repartitionByRange(*orders).sortWithinPartitions(*orders).withColumn("_pos", F.monotonically_increasing_id())
+    )
+    stored = materialize(positioned, "weighted-positions")
+    stored = stored.withColumn("_part", F.shiftright("_pos", _POS_BITS)).withColumn(
+        "_local", F.col("_pos").bitwiseAND(F.lit(_LOCAL_MASK))
+    )
+    totals = stored.groupBy("_part").agg(F.sum(weight).alias("_w"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_part").orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
+    out = stored.join(F.broadcast(offsets), "_part")
+    out = out.withColumn(name, (F.col("_off") + F.coalesce(F.sum(weight).over(within), F.lit(0))).cast("bigint"))
+    return out.select(*df.columns, name)

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tenure.functions.text import EXACT, stringify
-from tenure.plans.queries import CSV_ORDER, dim_employee, training_fact, training_history
+from tenure.plans.queries import dim_employee, training_fact, training_history
 from tenure.schemas import DIM_EMPLOYEE_TABLE, FACT_TABLE, KEY
 from tenure.session import scratch_scope
 from tenure.sinks.audit import Audit
@@ -78,8 +78,9 @@ def run_etl(
 
     ``buckets`` stores the dimension bucketed by ``EmployeeId`` and the fact by
     ``Id_Employee`` (for shuffle-free joins downstream). ``csv_index=False``
-    leaves the row index out of the CSV; the index costs one extra write of the
-    wide history (positions are stored before numbering). ``golden=True``
+    leaves the row index out of the CSV. With unique employee keys the index
+    comes from employee-level offsets; otherwise it costs one extra write of
+    the wide history. ``golden=True``
     reproduces the source job's number types: day counts, ordinals and the
     fact's history Id as doubles (with ``as_text``, the text ``58.0``).
     """
@@ -100,8 +101,8 @@ def run_etl(
 
     def csv_step() -> Written:
         with audit.step("write_training_history_csv") as step, scratch_scope(spark):
-            wide = training_history(employee, history, key_mode=key_mode, golden=golden)
-            csv = export_csv(wide, HISTORY_CSV, root, run_id=run_id, index_order=CSV_ORDER if csv_index else None)
+            wide = training_history(employee, history, key_mode=key_mode, golden=golden, row_index=csv_index)
+            csv = export_csv(wide, HISTORY_CSV, root, run_id=run_id, index_order=None)
             step.rows = csv.rows
         return csv
 

@@ -21,6 +21,7 @@ from tenure.functions.text import EXACT, JOIN_KEY, stringify, with_join_key
 from tenure.operators.ranking import (
     first_per_group,
     number_by_ranges,
+    prefix_by_ranges,
     sort_key,
     sort_orders,
     split_hot_groups,
@@ -150,6 +151,7 @@ def training_history(
     key_mode: str = EXACT,
     golden: bool = False,
     min_hot_rows: int | None = None,
+    row_index: bool = False,
 ) -> DataFrame:
     """Every employee with every position, its whole days and its ordinal ``rn``.
 
@@ -160,10 +162,14 @@ def training_history(
     Keys with more than ``tenure.hotGroupRows`` positions are numbered by
     ranges instead and joined separately, so no task holds a whole hot key.
     ``golden=True`` types the two counts as doubles, as in the CSV the source
-    job produced.
+    job produced. ``row_index=True`` adds the 0-based ``row_index`` over
+    ``CSV_ORDER`` as the first column (see ``_employee_offsets``).
     """
     e = _employee_for_training(emp, key_mode)
     h = _history_with_duration(hist, key_mode)
+    offsets = _employee_offsets(e, h) if row_index else None
+    if offsets is not None:
+        e = e.join(offsets, ["Id_Employee", "EmployeeId"], "inner")
     split = split_hot_groups(h, [K], min_hot_rows)
     w = Window.partitionBy(K).orderBy(*sort_orders(TRAINING_ORDER))
     # 64-bit: one employee may hold more positions than an int can count.
@@ -177,13 +183,45 @@ def training_history(
         )
         wide = wide.unionByName(_join_hot_employees(e, hot, split))
     cols = present(TRAINING_HISTORY_COLUMNS, wide.columns)
-    wide = wide.select(*cols)
+    if offsets is not None:
+        index = F.col("_before") + F.coalesce(F.col("rn"), F.lit(1)) - F.lit(1)
+        wide = wide.select(index.alias("row_index"), *cols)
+    else:
+        wide = wide.select(*cols)
     if golden:
         wide = wide.withColumn("training_day_duration", F.col("training_day_duration").cast("double"))
         wide = wide.withColumn("rn", F.col("rn").cast("double"))
+    if row_index and offsets is None:
+        wide = with_row_index(wide)
     return wide
 
 
+def _employee_offsets(e: DataFrame, h: DataFrame) -> DataFrame | None:
+    """Where each employee's rows start in ``CSV_ORDER``, without touching the wide table.
+
+    With (Id_Employee, EmployeeId) unique and non-null (the declared keys),
+    an employee's wide rows are consecutive in ``CSV_ORDER``, ordered by
+    ``rn``: there are max(positions, 1) of them. The start is therefore a
+    weighted prefix sum over the employee table alone, computed by ranges.
+    The wide row's index is then start + rn - 1, and the wide table is never
+    shuffled or written for it. Returns None when the keys repeat or hold a
+    null; the caller then numbers the wide rows by ranges instead.
+    """
+    units = ["Id_Employee", "EmployeeId"]
+    clash = (
+        e.groupBy(*units)
+        .agg(F.count(F.lit(1)).alias("_m"))
+        .filter((F.col("_m") > 1) | F.col("Id_Employee").isNull() | F.col("EmployeeId").isNull())
+    )
+    if not clash.isEmpty():
+        return None
+    per_key = h.groupBy(K).agg(F.count(F.lit(1)).alias("_c"))
+    weights = e.select(*units, K).join(per_key, K, "left").select(
+        *units, F.greatest(F.coalesce(F.col("_c"), F.lit(0)), F.lit(1)).alias("_w")
+    )
+    return prefix_by_ranges(weights, units, "_w").select(*units, "_before")
+
+
 def _join_hot_employees(e: DataFrame, hot: DataFrame, split) -> DataFrame:
     """Employees of hot keys joined to their (range-numbered) history.
 

@@ -113,3 +113,28 @@ def test_number_by_ranges_with_many_keys_and_no_broadcast(spark):
         "rn", F.row_number().over(Window.partitionBy("key").orderBy(F.col("start").asc_nulls_last(), "id"))
     )
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_prefix_by_ranges_equals_running_sum(spark):
+    from tenure.operators.ranking import prefix_by_ranges
+
+    df = spark.createDataFrame([(i % 37, i, (i * 7) % 5 + 1) for i in range(400)], "a int, b int, w int")
+    got = prefix_by_ranges(df, ["a", "b"], "w")
+    want = df.withColumn(
+        "_before",
+        F.coalesce(F.sum("w").over(Window.orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    )
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_indexed_history_equals_general_index(spark):
+    emp, hist = employee_standin(spark, SF), history_standin(spark, SF)
+    general = Q.with_row_index(Q.training_history(emp, hist))
+    for df in (Q.training_history(emp, hist, row_index=True),
+               Q.training_history(emp, hist, row_index=True, min_hot_rows=2)):
+        assert df.columns == general.columns
+        assert df.exceptAll(general).count() == 0 and general.exceptAll(df).count() == 0
+    # Repeated employee keys: the offsets do not apply; the general numbering is used.
+    dup = emp.unionByName(emp.limit(2))
+    got = Q.training_history(dup, hist, row_index=True)
+    assert sorted(r.row_index for r in got.collect()) == list(range(got.count()))

@@ -106,3 +106,12 @@ def test_bucketed_tables_need_no_shuffle(spark, work_dir, no_broadcast):
         assert "Bucketed: true" in plan
         assert "Exchange" not in plan
     assert sorted(Q.training_history(e, h).collect()) == sorted(Q.training_history(emp, hist).collect())
+
+
+def test_indexed_history_adds_no_exchange_over_wide_rows(tables, no_broadcast):
+    emp, hist = tables
+    plan = plan_text(Q.training_history(emp, hist, row_index=True))
+    # Same two key exchanges as the plain wide history; the index rides on the
+    # employee side (offsets from the employee table only).
+    assert plan.count("Exchange hashpartitioning(_k") == 2
+    assert "rangepartitioning" not in plan.lower()
