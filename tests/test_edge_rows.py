@@ -131,3 +131,15 @@ def test_whole_days_on_wall_clock_timestamps_ignore_dst(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [2, -1]
+
+
+def test_empty_inputs(spark, employee, script_history):
+    empty_emp = employee.limit(0)
+    empty_hist = script_history.limit(0)
+    for emp, hist, n_emp in ((empty_emp, script_history, 0), (employee, empty_hist, 4), (empty_emp, empty_hist, 0)):
+        assert Q.current_position(emp, hist, "2022-06-15").count() == 0
+        assert Q.latest_position(emp, hist).count() == n_emp
+        assert Q.latest_position(emp, hist, literal=True).count() == (1 if n_emp else 0)
+        wide = Q.training_history(emp, hist, row_index=True)
+        assert sorted(r.row_index for r in wide.collect()) == list(range(n_emp))
+        assert Q.training_fact(emp, hist).count() == 0 or hist is script_history
