@@ -22,7 +22,7 @@ from tenure.plans.job import run_etl
 from tenure.plans.standins import employee_standin, history_standin, oracle_with, read_table
 from tenure.session import new_run_folder
 from tenure.sinks.replace import replace_table
-from tenure.sources.catalog import copy_tables
+from tenure.sources.catalog import copy_tables, tables_named
 from tenure.sources.tables import register_sheet_table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -110,8 +110,12 @@ COPIED_TABLES = ["customer", "orders"]
 
 
 def _copy_tables(spark, sf_dir):
+    """Pick the source tables from the catalog by name, then copy each one."""
     root = new_run_folder(spark, "copies")
-    return copy_tables(spark, COPIED_TABLES, lambda name: read_table(spark, sf_dir, name), root)
+    for name in COPIED_TABLES:
+        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
+    names = tables_named(spark, COPIED_TABLES)
+    return copy_tables(spark, names, spark.table, root)
 
 
 def _etl(spark, sf_dir):
