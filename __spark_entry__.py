@@ -106,6 +106,10 @@ def _check_length(spark, sf_dir):
     return e.unionByName(h)
 
 
+def _validate_sources(spark, sf_dir):
+    return Q.validate_sources(*_inputs(spark, sf_dir))
+
+
 COPIED_TABLES = ["customer", "orders"]
 
 
@@ -178,6 +182,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_primary_key": _check_primary_key,
         "check_not_null": _check_not_null,
         "check_length": _check_length,
+        "validate_sources": _validate_sources,
         "copy_tables": _copy_tables,
         "etl_fact_table": _etl_fact_table,
         "etl_history_csv": _etl_history_csv,
@@ -311,6 +316,30 @@ union all select 'PositionHistory', 'EmployeeId', cast(max(length(EmployeeId)) a
        cast(count_if(length(EmployeeId) > 10) as bigint) from position_history
 """
 
+_VALIDATE_SOURCES = """
+select 'Employee' as table_name, 'primary_key' as check_name, 'Id' as column_name,
+       cast(count(*) as bigint) as violations
+from (select Id from employee group by Id having count(*) > 1 or Id is null)
+union all select 'Employee', 'unique', 'EmployeeId', cast(count(*) as bigint)
+from (select EmployeeId from employee group by EmployeeId having count(*) > 1)
+union all select 'Employee', 'not_null', 'Id', cast(count_if(Id is null) as bigint) from employee
+union all select 'Employee', 'not_null', 'EmployeeId', cast(count_if(EmployeeId is null) as bigint) from employee
+union all select 'Employee', 'not_null', 'FullName', cast(count_if(FullName is null) as bigint) from employee
+union all select 'Employee', 'max_length', 'EmployeeId', cast(count_if(length(EmployeeId) > 10) as bigint) from employee
+union all select 'Employee', 'max_length', 'FullName', cast(count_if(length(FullName) > 100) as bigint) from employee
+union all select 'Employee', 'max_length', 'Address', cast(count_if(length(Address) > 500) as bigint) from employee
+union all select 'PositionHistory', 'primary_key', 'Id', cast(count(*) as bigint)
+from (select Id from position_history group by Id having count(*) > 1 or Id is null)
+union all select 'PositionHistory', 'not_null', 'Id', cast(count_if(Id is null) as bigint) from position_history
+union all select 'PositionHistory', 'not_null', 'PosTitle', cast(count_if(PosTitle is null) as bigint) from position_history
+union all select 'PositionHistory', 'not_null', 'EmployeeId', cast(count_if(EmployeeId is null) as bigint) from position_history
+union all select 'PositionHistory', 'not_null', 'StartDate', cast(count_if(StartDate is null) as bigint) from position_history
+union all select 'PositionHistory', 'not_null', 'EndDate', cast(count_if(EndDate is null) as bigint) from position_history
+union all select 'PositionHistory', 'max_length', 'PosTitle', cast(count_if(length(PosTitle) > 100) as bigint) from position_history
+union all select 'PositionHistory', 'max_length', 'EmployeeId', cast(count_if(length(EmployeeId) > 10) as bigint)
+from position_history
+"""
+
 _COPY_TABLES = """
 select 'customer' as table_name, 'src_customer' as target, count(*) as rows_copied from customer
 union all select 'orders', 'src_orders', count(*) from orders
@@ -344,6 +373,7 @@ def oracle_sql() -> dict[str, str]:
         "check_primary_key": oracle_with(_CHECK_PRIMARY_KEY),
         "check_not_null": oracle_with(_CHECK_NOT_NULL),
         "check_length": oracle_with(_CHECK_LENGTH),
+        "validate_sources": oracle_with(_VALIDATE_SOURCES),
         "copy_tables": _COPY_TABLES,
         "etl_fact_table": oracle_with(_TRAINING_FACT),
         "etl_history_csv": oracle_with(_CSV_ROW_INDEX),

@@ -56,3 +56,48 @@ def length_violations(df: DataFrame, limits: dict[str, int], table: str | None =
     if table is not None:
         out = out.select(F.lit(table).alias("table_name"), "*")
     return out
+
+
+def declared_violations(
+    df: DataFrame,
+    table: str,
+    *,
+    primary_key: list[str] | None = None,
+    unique: list[list[str]] | None = None,
+    not_null: list[str] | None = None,
+    lengths: dict[str, int] | None = None,
+) -> DataFrame:
+    """Every declared constraint of one table as rows of
+    (``table_name``, ``check_name``, ``column_name``, ``violations``).
+
+    Keys count offending key values (repeated or null); ``not_null`` counts
+    null rows; ``max_length`` counts over-long values. Only the columns the
+    frame carries are checked.
+    """
+    cols = set(df.columns)
+    parts = []
+
+    def keyed(check: str, keys: list[str], allow_null: bool) -> None:
+        if set(keys) <= cols:
+            bad = duplicate_keys(df, keys, allow_null=allow_null).agg(F.count(F.lit(1)).alias("violations"))
+            parts.append(bad.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
+                                    F.lit(",".join(keys)).alias("column_name"), "violations"))
+
+    if primary_key:
+        keyed("primary_key", primary_key, False)
+    for keys in unique or []:
+        keyed("unique", keys, True)
+    present_nn = [c for c in not_null or [] if c in cols]
+    if present_nn:
+        parts.append(null_counts(df, present_nn, table).select(
+            "table_name", F.lit("not_null").alias("check_name"), "column_name",
+            F.col("null_rows").alias("violations")))
+    present_len = {c: n for c, n in (lengths or {}).items() if c in cols}
+    if present_len:
+        parts.append(length_violations(df, present_len, table).select(
+            "table_name", F.lit("max_length").alias("check_name"), "column_name",
+            F.col("too_long").alias("violations")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

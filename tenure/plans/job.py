@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tenure.functions.text import EXACT, stringify
-from tenure.plans.queries import dim_employee, training_fact, training_history
+from tenure.plans.queries import dim_employee, training_fact, training_history, validate_sources
 from tenure.schemas import DIM_EMPLOYEE_TABLE, FACT_TABLE, KEY
 from tenure.session import scratch_scope
 from tenure.sinks.audit import Audit
@@ -73,6 +73,8 @@ def run_etl(
     database: str | None = None,
     buckets: int | None = None,
     csv_index: bool = True,
+    validate: bool = False,
+    strict: bool = False,
 ) -> EtlRun:
     """Run the whole job once. ``root`` is the shared warehouse folder.
 
@@ -83,6 +85,10 @@ def run_etl(
     the wide history. ``golden=True``
     reproduces the source job's number types: day counts, ordinals and the
     fact's history Id as doubles (with ``as_text``, the text ``58.0``).
+    ``validate=True`` first checks the declared constraints of both inputs and
+    audits the violations (one pass per check; the key checks shuffle the
+    keys). With ``strict=True`` repeated or null keys stop the run, since
+    they change the results; other violations are only recorded.
     """
     spark = employee.sparkSession
     run_id = run_id or new_run_id()
@@ -91,6 +97,15 @@ def run_etl(
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
+    if validate:
+        with audit.step("validate_sources") as step:
+            report = validate_sources(employee, history).filter("violations > 0").collect()  # a few rows
+            step.rows = sum(r.violations for r in report)
+            step.detail = "; ".join(f"{r.table_name}.{r.column_name} {r.check_name}: {r.violations}" for r in report)
+            keys = [r for r in report if r.check_name in ("primary_key", "unique")]
+            if strict and keys:
+                raise ValueError(f"key constraints violated: {step.detail}")
+
     def dim_step() -> Written:
         with audit.step("load_dim_employee") as step:
             dim = load_dim_employee(

@@ -289,3 +289,25 @@ def with_row_index(df: DataFrame, order: list[str] = CSV_ORDER, name: str = "row
 def dim_employee(emp: DataFrame, *, as_text: bool = False) -> DataFrame:
     """The employee dimension: typed by default, every column as text on request."""
     return stringify(emp) if as_text else emp
+
+
+def validate_sources(emp: DataFrame, hist: DataFrame) -> DataFrame:
+    """The declared constraints of both source tables, checked as Spark jobs.
+
+    Parquet and CSV sources do not enforce what the source database declared;
+    in particular the latest-position and training queries rank history per
+    key before joining, which equals ranking after the join only while
+    ``EmployeeId`` is unique among employees.
+    """
+    from tenure import schemas as S
+    from tenure.operators.checks import declared_violations
+
+    e = declared_violations(
+        emp, S.EMPLOYEE_TABLE, primary_key=S.PRIMARY_KEYS[S.EMPLOYEE_TABLE], unique=S.UNIQUE_KEYS[S.EMPLOYEE_TABLE],
+        not_null=S.not_null_columns(S.EMPLOYEE), lengths=S.VARCHAR_LIMITS[S.EMPLOYEE_TABLE],
+    )
+    h = declared_violations(
+        hist, S.HISTORY_TABLE, primary_key=S.PRIMARY_KEYS[S.HISTORY_TABLE], unique=S.UNIQUE_KEYS[S.HISTORY_TABLE],
+        not_null=S.not_null_columns(S.POSITION_HISTORY), lengths=S.VARCHAR_LIMITS[S.HISTORY_TABLE],
+    )
+    return e.unionByName(h)

@@ -204,3 +204,18 @@ def test_read_jdbc_partitioned_asks_for_bounds_then_ranges(spark, monkeypatch):
     assert {k: calls[1][k] for k in ("dbtable", "partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
         "dbtable": "dbo.Employee", "partitionColumn": "Id", "lowerBound": "3", "upperBound": "1003", "numPartitions": "8",
     }
+
+
+def test_run_etl_validates_sources(spark, employee, sheet_history, work_dir):
+    run = run_etl(employee, sheet_history, f"{work_dir}/dwh-valid", validate=True, database="valid_dwh")
+    steps = {r.step: (r.status, r.rows) for r in run.audit.frame().collect()}
+    assert steps["validate_sources"] == ("ok", 0)
+
+    dup = employee.unionByName(employee.limit(1))
+    audit_path = f"{work_dir}/dwh-valid/audit-strict"
+    with pytest.raises(ValueError, match="key constraints violated"):
+        run_etl(dup, sheet_history, f"{work_dir}/dwh-valid", validate=True, strict=True,
+                audit_path=audit_path, run_id="strict-run", database="valid_dwh")
+    got = [(r.step, r.status, r.rows) for r in Audit(spark, audit_path, "strict-run").frame().collect()]
+    # Two offending keys (Id 1 and EmployeeId 10105001); nothing was loaded after the check.
+    assert got == [("validate_sources", "failed", 2)]
