@@ -143,3 +143,11 @@ def test_empty_inputs(spark, employee, script_history):
         wide = Q.training_history(emp, hist, row_index=True)
         assert sorted(r.row_index for r in wide.collect()) == list(range(n_emp))
         assert Q.training_fact(emp, hist).count() == 0 or hist is script_history
+
+
+def test_row_index_with_case_insensitive_keys(emp2, hist2):
+    fast = Q.training_history(emp2, hist2, key_mode=CASE_INSENSITIVE, row_index=True)
+    general = Q.with_row_index(Q.training_history(emp2, hist2, key_mode=CASE_INSENSITIVE))
+    assert fast.exceptAll(general).count() == 0 and general.exceptAll(fast).count() == 0
+    case_rows = [r for r in fast.collect() if r.EmployeeId == "abc01 "]
+    assert [r.PosTitle for r in case_rows] == ["Case Variant"]
