@@ -53,3 +53,13 @@ def test_top1_with_hot_employee(spark, skewed):
     wide = Q.training_history(emp, hist, min_hot_rows=0)
     want = wide.filter("rn = 1").select("Id_Employee", "Id_PositionHistory", "training_day_duration")
     assert fact.exceptAll(want).count() == 0 and want.exceptAll(fact).count() == 0
+
+
+def test_sampled_screen_finds_exactly_the_hot_keys(spark, skewed):
+    emp, hist = skewed
+    hot_rows = hist.filter("EmployeeId = '1'").count()  # about a third of the rows
+    # Sample fraction 1000 / (hot_rows * 0.8): the hot key is screened in, then counted exactly.
+    split = split_hot_groups(hist, ["EmployeeId"], int(hot_rows * 0.8))
+    assert {r.EmployeeId: r._rows for r in split.hot_keys.collect()} == {"1": hot_rows}
+    # Above its true size it is a candidate but the exact count rejects it.
+    assert split_hot_groups(hist, ["EmployeeId"], hot_rows + 1).hot_keys is None
