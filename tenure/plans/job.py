@@ -172,6 +172,8 @@ def main(argv: list[str] | None = None) -> EtlRun:
     p.add_argument("--golden", action="store_true")
     p.add_argument("--buckets", type=int)
     p.add_argument("--no-csv-index", action="store_true")
+    p.add_argument("--validate", action="store_true", help="check the declared constraints of both inputs first")
+    p.add_argument("--strict", action="store_true", help="with --validate: stop on repeated or null keys")
     args = p.parse_args(argv)
 
     spark = build_session(app_name="tenure-job")
@@ -186,6 +188,7 @@ def main(argv: list[str] | None = None) -> EtlRun:
     run = run_etl(
         employee, history, args.root, key_mode=args.key_mode, as_text=args.as_text, golden=args.golden,
         database=args.database, buckets=args.buckets, csv_index=not args.no_csv_index,
+        validate=args.validate, strict=args.strict,
     )
     print(f"run {run.run_id}: dimension {run.dim.rows} rows, history CSV {run.history_csv.rows} rows, "
           f"fact {run.fact.rows} rows")

@@ -182,7 +182,7 @@ def test_job_command_line(spark, employee, sheet_history, work_dir):
     employee.write.mode("overwrite").parquet(f"{work_dir}/cli/employee")
     sheet_history.write.mode("overwrite").option("header", True).csv(f"{work_dir}/cli/sheet")
     run = main(["--employee", f"{work_dir}/cli/employee", "--history-sheet", f"{work_dir}/cli/sheet",
-                "--root", f"{work_dir}/cli/dwh", "--database", "cli_dwh"])
+                "--root", f"{work_dir}/cli/dwh", "--database", "cli_dwh", "--validate", "--strict"])
     assert (run.dim.rows, run.history_csv.rows, run.fact.rows) == (4, 7, 3)
     assert rows(spark.table("cli_dwh.FactTrainingDays")) == [(1, 1, 58), (2, 3, 58), (3, 5, 58)]
 
