@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 import pytest
 
 from tenure.plans import queries as Q
@@ -12,7 +15,10 @@ SF = "/root/testdata/sf0.001"
 
 def plan_text(df, mode: str = "simple") -> str:
     """``explain`` text: "simple" for the operator tree, "formatted" for untruncated scan details."""
-    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
 
 
 @pytest.fixture(scope="module")
