@@ -219,3 +219,18 @@ def test_run_etl_validates_sources(spark, employee, sheet_history, work_dir):
     got = [(r.step, r.status, r.rows) for r in Audit(spark, audit_path, "strict-run").frame().collect()]
     # Two offending keys (Id 1 and EmployeeId 10105001); nothing was loaded after the check.
     assert got == [("validate_sources", "failed", 2)]
+
+
+def test_bucketed_copies_in_parallel(spark, employee, script_history, work_dir):
+    spark.sql("CREATE DATABASE IF NOT EXISTS copy_src")
+    employee.write.mode("overwrite").saveAsTable("copy_src.emp")
+    script_history.write.mode("overwrite").saveAsTable("copy_src.hist")
+    spec = {"emp": (4, ["EmployeeId"]), "hist": (4, ["EmployeeId"])}
+    for _ in range(2):  # second round repoints the bucketed copies
+        out = copy_tables(spark, ["emp", "hist"], lambda n: spark.table(f"copy_src.{n}"), f"{work_dir}/bcopies",
+                          prefix="b_", bucket_by=spec, parallel=2)
+        assert rows(out, "table_name", "rows_copied") == [("emp", 4), ("hist", 6)]
+    for t in ("b_emp", "b_hist"):
+        info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t}").collect()}
+        assert info["Num Buckets"] == "4"
+    assert [n for n in spark.catalog.listTables() if "__staging_" in n.name] == []
