@@ -123,7 +123,8 @@ def _copy_tables(spark, sf_dir):
 
 
 def _etl(spark, sf_dir):
-    """The whole batch job, with the history read through a sheet-backed CSV table.
+    """The whole batch job, with the history read through a sheet-backed CSV table
+    and landed as parquet once.
 
     Each call gets its own folder and database, so runs never touch each
     other's tables.
@@ -134,7 +135,7 @@ def _etl(spark, sf_dir):
     emp, hist = _inputs(spark, sf_dir)
     sheet = replace_table(hist, "position_history_sheet", root, fmt="csv", options={"header": "true"}, register=False)
     sheet_hist = register_sheet_table(spark, f"{database}.{S.DIM_HISTORY_TABLE}", sheet.path, hist.schema)
-    return run_etl(emp, sheet_hist, root, database=database)
+    return run_etl(emp, sheet_hist, root, database=database, land_history=True)
 
 
 def _etl_fact_table(spark, sf_dir):
@@ -347,7 +348,9 @@ union all select 'orders', 'src_orders', count(*) from orders
 
 _ETL_AUDIT = f"""
 {_NUMBERED}
-select 'load_dim_employee' as step, 'ok' as status, count(*) as "rows" from employee
+select 'land_position_history' as step, 'ok' as status, count(*) as "rows" from position_history
+union all
+select 'load_dim_employee', 'ok', count(*) from employee
 union all
 select 'write_training_history_csv', 'ok', count(*)
 from employee e left join numbered n on e.EmployeeId = n.EmployeeId

@@ -234,3 +234,16 @@ def test_bucketed_copies_in_parallel(spark, employee, script_history, work_dir):
         info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {t}").collect()}
         assert info["Num Buckets"] == "4"
     assert [n for n in spark.catalog.listTables() if "__staging_" in n.name] == []
+
+
+def test_run_etl_lands_history_once(spark, employee, sheet_history, work_dir):
+    path = f"{work_dir}/land-sheet"
+    sheet_history.write.mode("overwrite").option("header", True).csv(path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS land_dwh")
+    sheet = register_sheet_table(spark, "land_dwh.sheet_history", path, S.POSITION_HISTORY)
+    run = run_etl(employee, sheet, f"{work_dir}/dwh-land", database="land_dwh", land_history=True, buckets=4)
+    steps = {r.step: (r.status, r.rows) for r in run.audit.frame().collect()}
+    assert steps["land_position_history"] == ("ok", 6)
+    info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED land_dwh.RawPositionHistory").collect()}
+    assert info["Num Buckets"] == "4"
+    assert rows(spark.table("land_dwh.FactTrainingDays")) == [(1, 1, 58), (2, 3, 58), (3, 5, 58)]
