@@ -25,6 +25,13 @@ from tenure.sinks.replace import replace_table
 from tenure.sources.catalog import copy_tables, tables_named
 from tenure.sources.tables import register_sheet_table
 
+try:  # the operators for text corpora can be left out as a whole
+    from tenure.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("tenure.llm"):
+        raise
+    text_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Fixed value: the day for point-in-time checks (inside the supplied dates).
@@ -168,6 +175,10 @@ def _etl_audit(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | (text_queries.queries() if text_queries else {})
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "current_position": _current_position,
         "current_position_ci": _current_position_ci,
@@ -361,6 +372,10 @@ from employee e join numbered n on e.EmployeeId = n.EmployeeId where n.rn = 1
 
 
 def oracle_sql() -> dict[str, str]:
+    return core_oracle_sql() | (text_queries.oracle_sql() if text_queries else {})
+
+
+def core_oracle_sql() -> dict[str, str]:
     return {
         "current_position": oracle_with(_CURRENT),
         "current_position_ci": oracle_with(_CURRENT_CI),

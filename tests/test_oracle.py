@@ -37,10 +37,10 @@ def _canon(columns, data):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.core_queries()) == set(E.core_oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.core_queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     got = df.collect()
