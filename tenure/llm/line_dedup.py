@@ -162,7 +162,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = materialize(repeated(docs, id_col, text_col, min_words), "repeats")
     key, kept, lines, new = (free_name(docs, x) for x in ("row_key", "kept_ranges", "all_lines", "new_text"))
     doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    joined = docs.withColumn(key, row_key(doc_id, text)).join(found.select(F.col("key").alias(key), F.col("kept").alias(kept)), key, "left")
+    # a merge join at every size: the texts are dealt by key once, whatever the number of repeats
+    found = found.select(F.col("key").alias(key), F.col("kept").alias(kept)).hint("merge")
+    joined = docs.withColumn(key, row_key(doc_id, text)).join(found, key, "left")
     joined = joined.withColumn(lines, F.when(F.col(kept).isNotNull() | F.lit(counts), F.split(text, "\n", -1)))
     stay = F.flatten(F.transform(kept, lambda r: F.slice(lines, r["first"] + 1, r["n"])))
     joined = joined.withColumn(new, F.when(F.col(kept).isNotNull(), stay))
