@@ -177,6 +177,6 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     repeats = materialize(repeats, "repeats")
     key, times, one = free_name(docs, "row_key"), free_name(docs, "repeats"), free_name(docs, "one")
     keyed = docs.withColumn(key, row_key(*(F.col(f"`{c}`") for c in (id_col, source_col, text_col))))
-    repeats = repeats.select(F.col("k").alias(key), F.col("repeats").alias(times))
+    repeats = repeats.select(F.col("k").alias(key), F.col("repeats").alias(times)).hint("merge")
     out = keyed.join(repeats, key).withColumn(one, F.explode(F.sequence(F.lit(1), F.col(times))))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
