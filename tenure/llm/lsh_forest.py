@@ -7,11 +7,10 @@ DEPTH values share a region. Inside a region classes are sorted by their
 further values, so neighbours have the longest common prefix: dense regions
 are thereby compared at greater depth. The first round takes these neighbours.
 
-Neighbours alone could miss a pair, so exact rounds follow: regions that still
-hold several components are compared whole, in blocks dealt out to tasks, and
-pairs from different components are confirmed: first the best few of each
-class, in the last round all. Pairs inside one component need no confirming.
-Candidates pass a signature estimate far below the limit; a link counts only
+Neighbours alone could miss a pair, so an exact round follows: regions that
+still hold several components are compared whole, in blocks dealt out to
+tasks, and pairs from different components are confirmed. Pairs inside one
+component need no confirming. Candidates pass a signature estimate far below the limit; a link counts only
 after the intersection of the two full sets.
 
 With TREES orders of DEPTH values a pair at similarity 0.75 shares no region
@@ -26,10 +25,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +43,8 @@ TREES = 24
 DEPTH = 4
 FURTHER = 6
 BLOCK = 1024
+#: Groups up to this size are compared side by side in numpy.
+SMALL = 32
 #: Least estimated similarity of a candidate; at 128 values 0.75 is estimated below it once in 3,000.
 ESTIMATE = 0.62
 CACHE_WORDS = 400_000
@@ -99,6 +98,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+WIDE = "region bigint, tree int, cid bigint, n bigint, further binary, sketch binary, tags binary"
 SIGNED = "doc_id bigint, n_shingles bigint, digest binary, sig binary"
 
 
@@ -131,30 +131,33 @@ def _values(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
 
 
+def _region(sig: np.ndarray, tree: int) -> np.ndarray:
+    key = np.full(len(sig), tree + 1, np.uint64)
+    for k in _ORDERS[tree][:DEPTH]:
+        key = mix(key * _BASE + sig[:, k])
+    return key
+
+
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, cid = _values(batch.column(1)).astype(np.uint64), batch.column(0).to_numpy()
+        sig, cid = _values(batch.column(1)), batch.column(0).to_numpy()
         for t in range(TREES):
-            key = np.full(len(sig), t + 1, np.uint64)
-            for k in _ORDERS[t][:DEPTH]:
-                key = mix(key * _BASE + sig[:, k])
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(sig), t, np.int32)), pa.array(cid)], names=["region", "tree", "cid"])
+            yield pa.RecordBatch.from_arrays([pa.array(_region(sig, t).view(np.int64)), pa.array(np.full(len(sig), t, np.int32)), pa.array(cid)], names=["region", "tree", "cid"])
 
 
 def _deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(region, further, cid, n, sketch): ``further`` sorts a region, ``sketch`` is a byte of each value."""
+    """``further`` sorts a region, ``sketch`` is a byte of each value, ``tags`` tell the regions of all trees."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sig, tree = _values(batch.column(4)), batch.column(1).to_numpy()
         further = np.take_along_axis(sig, _ORDERS[tree][:, DEPTH:], axis=1).astype(">u4")
         low = (sig & 0xFF).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([x.tobytes() for x in further], pa.binary()), batch.column(2), batch.column(3), pa.array([x.tobytes() for x in low], pa.binary())],
-            names=["region", "further", "cid", "n", "sketch"],
-        )
+        tags = np.column_stack([_region(sig, t) >> np.uint64(32) for t in range(TREES)]).astype(np.uint32)
+        packed = [pa.array([x.tobytes() for x in part], pa.binary()) for part in (further, low, tags)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], *packed], names=["region", "tree", "cid", "n", "further", "sketch", "tags"])
 
 
 def _estimate(equal: np.ndarray) -> np.ndarray:
@@ -167,8 +170,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        region, cid, n = (batch.column(k).to_numpy() for k in (0, 2, 3))
-        sketch = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, HASHES)
+        region, cid, n = (batch.column(c).to_numpy() for c in ("region", "cid", "n"))
+        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
         if last is not None:
             region, cid, n, sketch = (np.concatenate((a, b)) for a, b in zip(last, (region, cid, n, sketch), strict=True))
         last = region[-2:], cid[-2:], n[-2:], sketch[-2:]
@@ -184,40 +187,94 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, est)], names=["a", "b", "est"])
 
 
-def _across(part: pd.DataFrame, best: int | None) -> pd.DataFrame:
-    """Pairs of a region (or of two of its blocks) from different components whose estimate passes.
-
-    With ``best``, each class keeps its highest estimates only.
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Tables of whole groups from sorted batches; a group is equal values in the first ``keys`` columns."""
+    rest = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        rest = t if rest is None else pa.concat_tables([rest, t])
+        k = [c.to_numpy() for c in rest.columns[:keys]]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in k], axis=0)) + 1
+        if len(new):
+            yield rest.slice(0, int(new[-1]))
+            rest = rest.slice(int(new[-1]))
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _across(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers (x, y) of candidate pairs from different components, and their estimates.
+
+    ``t`` holds whole regions, or pairs of blocks of one (region, b0, b1, half).
+    A pair that shares a region of an earlier tree is left to that region.
     """
-    part = part.sort_values("cid", kind="stable")
-    cid, n, comp, half = (part[c].to_numpy() for c in ("cid", "n", "comp", "half"))
-    sketch = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(-1, HASHES)
-    two = bool(half.any())
-    # pairs within the largest component are settled: only its outsiders look for partners
-    values, counts = np.unique(comp, return_counts=True)
-    outside = np.flatnonzero(comp != values[counts.argmax()])
+    region, b0, b1, half, tree, n, comp = (t.column(c).to_numpy() for c in ("region", "b0", "b1", "half", "tree", "n", "comp"))
+    sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
+    tags = np.frombuffer(b"".join(t.column("tags").to_pylist()), np.uint32).reshape(-1, TREES)
+    new = np.flatnonzero(np.append(True, (region[1:] != region[:-1]) | (b0[1:] != b0[:-1]) | (b1[1:] != b1[:-1])))
+    sizes = np.diff(np.append(new, len(region)))
+    group = np.repeat(np.arange(len(new)), sizes)
+    two = (b0 != b1)  # between two blocks only pairs across them
     found = []
-    for start in range(0, len(outside), 32):
-        i = outside[start : start + 32]
-        can = (comp[i][:, None] != comp) & (100 * np.minimum(n[i][:, None], n) >= PERCENT * np.maximum(n[i][:, None], n))
-        if two:
-            can &= half[i][:, None] != half
-        p, q = np.nonzero(can)
-        for s in range(0, len(p), 65536):
-            x, y = i[p[s : s + 65536]], q[s : s + 65536]
-            est = _estimate((sketch[x] == sketch[y]).sum(1))
-            ok = est >= ESTIMATE
-            found.append((x[ok], y[ok], est[ok]))
+
+    def test(x, y):
+        ok = (comp[x] != comp[y]) & (~two[x] | (half[x] != half[y])) & (100 * np.minimum(n[x], n[y]) >= PERCENT * np.maximum(n[x], n[y]))
+        x, y = x[ok], y[ok]
+        est = _estimate((sketch[x] == sketch[y]).sum(1))
+        ok = est >= ESTIMATE
+        x, y, est = x[ok], y[ok], est[ok]
+        ok = ~((tags[x] == tags[y]) & (np.arange(TREES) < tree[x][:, None])).any(1)
+        found.append((x[ok], y[ok], est[ok]))
+
+    small = np.flatnonzero((sizes <= SMALL)[group])
+    for step in range(1, int(min(SMALL, sizes.max()))):
+        x = small[small + step < len(group)]
+        x = x[group[x] == group[x + step]]
+        for s in range(0, len(x), 65536):
+            test(x[s : s + 65536], x[s : s + 65536] + step)
+    for k in np.flatnonzero(sizes > SMALL):
+        rows = np.arange(new[k], new[k] + sizes[k])
+        values, counts = np.unique(comp[rows], return_counts=True)
+        # pairs within the largest component are settled: only its outsiders look for partners
+        outside = comp[rows] != values[counts.argmax()]
+        for x in rows[outside]:
+            test(*np.broadcast_arrays(x, rows[~outside | (rows > x)]))
     if not found:
-        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "est": np.zeros(0)})
-    x, y, est = (np.concatenate(f) for f in zip(*found, strict=True))
-    if best is not None:
-        order = np.lexsort((y, -est, x))
-        x, y, est = x[order], y[order], est[order]
-        first = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, int)
-        rank = np.arange(len(x)) - np.repeat(first, np.diff(np.append(first, len(x))))
-        x, y, est = x[rank < best], y[rank < best], est[rank < best]
-    return pd.DataFrame({"a": np.minimum(cid[x], cid[y]), "b": np.maximum(cid[x], cid[y]), "est": est}).drop_duplicates(["a", "b"])
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return tuple(np.concatenate(f) for f in zip(*found, strict=True))
+
+
+def _open_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that have a candidate in another component."""
+    for t in _groups(batches, 3):
+        x, y, _ = _across(t)
+        yield from t.take(np.unique(np.concatenate((x, y)))).to_batches()
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components, confirmed on full sets, as far as they join what is apart."""
+    for t in _groups(batches, 3):
+        x, y, est = _across(t)
+        order = np.argsort(-est, kind="stable")
+        sets, cid = t.column("shingles").combine_chunks(), t.column("cid").to_numpy()
+        values, label = np.unique(t.column("comp").to_numpy(), return_inverse=True)
+        up = list(range(len(values)))
+        a, b = [], []
+        for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
+            p, q = int(label[i]), int(label[j])
+            while up[p] != p:
+                p = up[p]
+            while up[q] != q:
+                q = up[q]
+            if p == q:
+                continue
+            s, u = sets[i].values.to_numpy(), sets[j].values.to_numpy()
+            both = len(np.intersect1d(s, u, assume_unique=True))
+            if 100 * both >= PERCENT * (len(s) + len(u) - both):
+                up[max(p, q)] = min(p, q)
+                a.append(int(cid[i]))
+                b.append(int(cid[j]))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -228,6 +285,29 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= PERCENT * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
+def _remainder(members: DataFrame, wide: DataFrame, sizes: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components that ``links`` leave apart inside one region.
+
+    Regions of more than BLOCK classes are dealt out as pairs of blocks. A
+    first pass finds the classes with a candidate in another component; only
+    these get their sets, and the same pairs are then confirmed in place, so
+    the rows moved are classes, never pairs.
+    """
+    roots = materialize(connected(links).withColumnRenamed("node", "cid"), "roots")
+    at = members.select("region", "cid").join(roots, "cid", "left").select("region", "cid", F.coalesce("root", "cid").alias("comp"))
+    apart = at.groupBy("region").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("region").join(sizes, "region")
+    rows = wide.drop("further").join(apart, "region").join(roots, "cid", "left").withColumn("comp", F.coalesce("root", "cid"))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("cid"), F.col("k")).cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+    rows = rows.select(
+        "region", F.least("mine", "other").alias("b0"), F.greatest("mine", "other").alias("b1"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("half"),
+        "tree", "cid", "n", "comp", "sketch", "tags",
+    )
+    keys = ["region", "b0", "b1"]
+    rows = materialize(rows.repartition(*keys).sortWithinPartitions(*keys, "cid").mapInArrow(_open_rows, rows.schema), "open")
+    whole = rows.join(sets, "cid").select(*rows.columns, "shingles")
+    return materialize(whole.repartition(*keys).sortWithinPartitions(*keys, "cid").mapInArrow(_exact, "a bigint, b bigint"), "links")
+
+
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     rows = as_binary(docs, id_col, text=text_col).withColumnRenamed(id_col, "doc_id")
@@ -241,9 +321,9 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sizes = members.select("region", F.ceil(F.col("size") / BLOCK).cast("int").alias("k")).distinct()
     active = materialize(members.select("cid").distinct().join(classes.drop("sig"), "cid"), "active")
     wide = members.select("region", "tree", "cid").join(classes.select("cid", "n", "sig"), "cid").select("region", "tree", "cid", "n", "sig")
-    wide = materialize(wide.mapInArrow(_deepen, "region bigint, further binary, cid bigint, n bigint, sketch binary"), "regions")
+    wide = materialize(wide.mapInArrow(_deepen, WIDE), "regions")
 
-    wanted = active.select(F.col("low_id").alias("want")).distinct()
+    wanted = active.select(F.col("low_id").alias("want")).distinct().hint("merge")
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("want")), "left_semi").select("text")
     sets = texts.mapInArrow(_whole, "digest binary, shingles array<bigint>").dropDuplicates(["digest"])
     sets = materialize(sets.join(active, "digest").select("cid", "shingles"), "sets")
@@ -255,25 +335,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     best = Window.partitionBy("end").orderBy(F.desc("est"), "a", "b")
     tried = materialize(ends.withColumn("rank", F.row_number().over(best)).where("rank <= 3").select("a", "b").distinct(), "tried")
     links = materialize(_confirm(tried, sets), "links")
-    for take in (3, None):
-        roots = connected(links).withColumnRenamed("node", "cid")
-        at = members.select("region", "cid").join(roots, "cid", "left").select("region", "cid", F.coalesce("root", "cid").alias("comp"))
-        open_ = at.groupBy("region").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("region").join(sizes, "region")
-        rows_in = wide.drop("further").join(open_, "region").join(roots, "cid", "left").withColumn("comp", F.coalesce("root", "cid"))
-        rows_in = rows_in.withColumn("mine", F.pmod(F.xxhash64("cid"), F.col("k")).cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-        dealt = rows_in.select(
-            "region", "cid", "n", "comp", "sketch", F.least("mine", "other").alias("b0"), F.greatest("mine", "other").alias("b1"),
-            F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("half"),
-        )
-
-        pairs = dealt.groupBy("region", "b0", "b1").applyInPandas(partial(_across, best=take), "a bigint, b bigint, est double")
-        pairs = pairs.groupBy("a", "b").agg(F.max("est").alias("est"))
-        if take is not None:
-            ends = pairs.select("*", F.explode(F.array("a", "b")).alias("end")).withColumn("rank", F.row_number().over(best))
-            pairs = ends.where(F.col("rank") <= take).select("a", "b").distinct()
-        fresh = materialize(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"), "tried")
-        links = links.unionByName(materialize(_confirm(fresh, sets), "links"))
-        tried = tried.unionByName(fresh)
+    links = links.unionByName(_remainder(members, wide, sizes, links, sets))
     roots = connected(links)
     named = classes.select("cid", "digest", "low_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = named.join(named.groupBy("root").agg(F.min("low_id").alias("component_id")), "root").select("digest", "component_id")
@@ -289,4 +351,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     gone = near_documents(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
     gone = materialize(gone, "gone")
-    return docs.join(gone.alias("gone"), docs[id_col] == F.col("gone.gone_id"), "left_anti")
+    return docs.join(gone.hint("merge"), docs[id_col] == gone["gone_id"], "left_anti")
