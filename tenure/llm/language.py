@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,12 +97,22 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         rate = F.when(F.col("l") == lang, F.lit(min(1.0, share / n))).otherwise(rate)
     # hashing the length as well spreads rows that repeat one id
     drawn = rows.where(F.pmod(F.xxhash64("i", F.length("t"), F.lit(91)), F.lit(1_000_003)) < rate * 1_000_003)
-    got = drawn.select("l", "t").toArrow()
-    seen: dict[str, np.ndarray] = {}
-    for lang, text in zip(got.column("l").to_pylist(), got.column("t").to_pylist(), strict=True):
-        found = np.bincount(trigrams([text])[0], minlength=1 << GRAM_BITS)
-        seen[lang] = seen[lang] + found if lang in seen else found
-    languages = sorted(x for x in seen if seen[x].any())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.bincount(trigrams([text])[0], minlength=1 << GRAM_BITS)
+                seen[lang] = seen[lang] + found if lang in seen else found
+        for lang, found in seen.items():
+            at = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(found[at].astype(np.int64))], names=["l", "gram", "n"])
+
+    # the driver gets at most 2 ** GRAM_BITS counts a language, never the texts
+    summed = drawn.select("l", "t").mapInArrow(count, "l string, gram int, n bigint").groupBy("l", "gram").agg(F.sum("n").alias("n")).toArrow()
+    names, gram, n = summed.column("l").to_numpy(), summed.column("gram").to_numpy(), summed.column("n").to_numpy()
+    languages = sorted(set(names))
+    seen = {x: np.bincount(gram[names == x], weights=n[names == x], minlength=1 << GRAM_BITS) for x in languages}
     if not languages:
         return Model([], np.zeros((1 << GRAM_BITS, 0), np.float32))
     counted = np.column_stack([seen[x] for x in languages]) + 0.02
@@ -213,20 +222,16 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 def known(model: Model, text: Column, min_share: float = MIN_SHARE) -> Column:
     """True where a language is found whose share is at least ``min_share``."""
 
-    @F.pandas_udf("boolean")
-    def check(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def check(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model)
-        for batch in batches:
-            keep = np.zeros(len(batch), bool)
-            texts, at, size = [], 0, 0
-            for k, t in enumerate(batch):
-                texts.append(t or b"")
-                size += len(texts[-1])
-                if size > (4 << 20) or k == len(batch) - 1:
-                    pred, score = scorer(texts)
-                    keep[at : k + 1] = [p != "und" and s >= min_share for p, s in zip(pred, score, strict=True)]
-                    texts, at, size = [], k + 1, 0
-            yield pd.Series(keep)
+        for texts in batches:
+            rows = pa.RecordBatch.from_arrays([texts], names=["text"])
+            keep: list[bool] = []
+            for part in chunks([rows]):
+                pred, score = scorer(utf8(part))
+                keep += [p != "und" and s >= min_share for p, s in zip(pred, score, strict=True)]
+            yield pa.array(keep, pa.bool_())
 
     return check(text.cast("string").cast("binary"))
 
