@@ -197,7 +197,9 @@ def learn(
     read whole. An id labelled twice counts as toxic if either label says so.
     """
     texts, toxic, weight = _sample(docs, labels, id_col, text_col, label_id, label_col, max_toxic, max_clean)
-    tokens = [[w.lower() for w in TOKEN.findall(t)] for t in texts]
+    one: dict[str, str] = {}  # each word once in memory
+    tokens = [[one.setdefault(w, w) for w in map(str.lower, TOKEN.findall(t))] for t in texts]
+    del texts
     full = [k for k, words in enumerate(tokens) if words]
     full = [full[k] for k in apart([set(tokens[k]) for k in full])]
     tokens, toxic = [tokens[k] for k in full], [toxic[k] for k in full]
