@@ -176,7 +176,8 @@ def _sample(docs, labels, id_col, text_col, label_id, label_col, max_toxic, max_
     bad, good = counts.get(1, 0), counts.get(0, 0)
     rate = F.when(F.col("y") == 1, min(1.0, max_toxic / max(bad, 1))).otherwise(min(1.0, max_clean / max(good, 1)))
     drawn = marks.where(F.pmod(F.xxhash64("i", F.lit(17)), F.lit(1_000_003)) < rate * 1_000_003)
-    got = rows.join(drawn, "i").select("i", "y", "t").orderBy("i").toArrow()
+    # `drawn` is bounded by max_toxic + max_clean rows, so it is sent to the texts and not the other way round
+    got = rows.join(F.broadcast(drawn), "i").select("i", "y", "t").orderBy("i").toArrow()
     texts, y = got.column("t").to_pylist(), got.column("y").to_pylist()
     return texts, [v == 1 for v in y], max(1.0, good / max_clean)
 
