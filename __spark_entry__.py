@@ -3,7 +3,7 @@
 ``entry(spark)`` runs the flagship query on sf0.001. ``queries()`` maps each
 implemented operator or query to a callable ``(spark, sf_dir) -> DataFrame``;
 ``oracle_sql()`` gives the same answer as DuckDB SQL over the supplied tables.
-Employees are customers and positions are urgent orders (see
+Employees are customers and suppliers, positions are orders (see
 ``tenure.plans.standins``); every query reads whole tables.
 """
 

@@ -2,9 +2,9 @@
 
 The work folder holds intermediate tables (rows with their range positions,
 for exact numbering) and, in the registered test queries, run outputs. On a
-cluster it is the shared folder named by ``spark.checkpoint.dir``; only when
-that is unset (tests, a laptop) do we fall back to a folder below the
-warehouse directory, never to a machine-local temporary folder.
+cluster it is the shared folder named by ``spark.checkpoint.dir``, and without
+it there is an error; only a local session (tests, a laptop) falls back to a
+folder below the warehouse directory.
 """
 
 from __future__ import annotations
@@ -95,9 +95,9 @@ def work_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        root = warehouse.rstrip("/") + "/_tenure_work"
-        sc.setCheckpointDir(root)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tenure_work"
     return root.rstrip("/")
 
 

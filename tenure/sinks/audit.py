@@ -57,7 +57,7 @@ class Audit:
             yield result
         except Exception as exc:
             now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-            self._append(name, "failed", started, now, result.rows, f"{type(exc).__name__}: {exc}"[:2000])
+            self._append(name, "failed", started, now, result.rows, f"{type(exc).__name__}: {exc}")
             raise
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         self._append(name, "ok", started, now, result.rows, result.detail)

@@ -7,7 +7,14 @@ from pyspark.sql import DataFrame
 from tenure.plans.queries import CSV_ORDER, with_row_index
 from tenure.sinks.replace import Written, replace_table
 
-CSV_OPTIONS = {"header": "true", "dateFormat": "yyyy-MM-dd"}
+# Quotes inside a value are doubled, and blanks at its ends are part of it.
+CSV_OPTIONS = {
+    "header": "true",
+    "dateFormat": "yyyy-MM-dd",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def export_csv(

@@ -80,7 +80,7 @@ def replace_table(
     elif register:
         _point_table(spark, table, path, fmt, options, df.schema)
     if keep:
-        _prune_versions(spark, table_root, keep)
+        _prune_versions(spark, table_root, keep, {path, *([_location(spark, table)] if register else [])})
     return Written(table, path, fmt, rows, options)
 
 
@@ -91,13 +91,27 @@ def _layout(spark: SparkSession, table: str) -> tuple:
     return (spark.table(table).schema.simpleString(), *(info.get(k) for k in keys))
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return info.get("Location") or ""
+
+
+def _refuse_managed(spark: SparkSession, table: str) -> None:
+    """Dropping a managed table would delete its files, so a replace never does."""
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if info.get("Type") != "EXTERNAL":
+        raise ValueError(f"{table} exists and is not an external table; not replacing it")
+
+
 def _swap_staging(spark: SparkSession, table: str, staging: str, path: str) -> None:
     """Make ``table`` serve the files of the (external) staging table."""
-    if spark.catalog.tableExists(table) and _layout(spark, table) == _layout(spark, staging):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {table}")
-        spark.sql(f"DROP TABLE {staging}")  # external: its files are now the table's
-        return
+    if spark.catalog.tableExists(table):
+        _refuse_managed(spark, table)
+        if _layout(spark, table) == _layout(spark, staging):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.sql(f"REFRESH TABLE {table}")
+            spark.sql(f"DROP TABLE {staging}")  # external: its files are now the table's
+            return
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
@@ -106,26 +120,34 @@ def _point_table(spark: SparkSession, table: str, path: str, fmt: str, options:
     opts = "".join(f", '{k}' '{v}'" for k, v in options.items())
     create = f"CREATE TABLE {table} USING {fmt} OPTIONS (path '{path}'{opts})"
     if spark.catalog.tableExists(table):
-        if spark.table(table).schema.simpleString() == schema.simpleString():
+        _refuse_managed(spark, table)
+        shape, buckets, *_, provider = _layout(spark, table)
+        if shape == schema.simpleString() and not buckets and (provider or "").lower() == fmt.lower():
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.sql(f"REFRESH TABLE {table}")
             return
-        # New shape: the catalog entry has to be recreated (files stay).
+        # New shape, format or bucketing: the catalog entry has to be recreated (files stay).
         spark.sql(f"DROP TABLE {table}")
     spark.sql(create)
 
 
-def _prune_versions(spark: SparkSession, table_root: str, keep: int) -> None:
-    """Delete all but the newest ``keep`` version folders of one table."""
+def _prune_versions(spark: SparkSession, table_root: str, keep: int, served: set[str]) -> None:
+    """Delete all but the ``keep`` most recently finished version folders of one table.
+
+    Folders in ``served`` (the one just written, the one the catalog points
+    at) stay whatever their run id or age.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(table_root)
     fs = root.getFileSystem(conf)
     if not fs.exists(root):
         return
+    live = {jvm.org.apache.hadoop.fs.Path(p).getName() for p in served if p}
     versions = sorted(
-        (s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith(VERSION_PREFIX)),
-        key=lambda p: p.getName(),
+        (s for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith(VERSION_PREFIX)),
+        key=lambda s: s.getModificationTime(),
     )
     for old in versions[:-keep]:
-        fs.delete(old, True)
+        if old.getPath().getName() not in live:
+            fs.delete(old.getPath(), True)

@@ -98,6 +98,7 @@ def register_sheet_table(
         spark.sql(f"DROP TABLE {name}")  # external: only the definition goes
     spark.sql(
         f"CREATE TABLE {name} ({cols}) USING csv "
-        f"OPTIONS (path '{path}', header '{str(header).lower()}', mode 'FAILFAST', dateFormat '{date_format}')"
+        f"OPTIONS (path '{path}', header '{str(header).lower()}', mode 'FAILFAST', dateFormat '{date_format}', "
+        "escape '\"', ignoreLeadingWhiteSpace 'false', ignoreTrailingWhiteSpace 'false')"
     )
     return spark.table(name)

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["customer", "orders", "lineitem"]
+TABLES = ["customer", "supplier", "orders", "lineitem"]
 
 
 @pytest.fixture(scope="module")

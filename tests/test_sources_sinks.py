@@ -247,3 +247,17 @@ def test_run_etl_lands_history_once(spark, employee, sheet_history, work_dir):
     info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED land_dwh.RawPositionHistory").collect()}
     assert info["Num Buckets"] == "4"
     assert rows(spark.table("land_dwh.FactTrainingDays")) == [(1, 1, 58), (2, 3, 58), (3, 5, 58)]
+
+
+def test_replace_keeps_what_the_catalog_serves(spark, work_dir):
+    df = spark.range(3)
+    for run in ("20240102-b", "20240103-c", "20240101-a"):
+        replace_table(df, "served_rows", f"{work_dir}/served", run_id=run)
+    assert spark.table("served_rows").count() == 3
+
+
+def test_replace_refuses_a_managed_table(spark, work_dir):
+    spark.range(2).write.saveAsTable("managed_rows")
+    with pytest.raises(ValueError, match="not an external table"):
+        replace_table(spark.range(3), "managed_rows", f"{work_dir}/managed")
+    assert spark.table("managed_rows").count() == 2
