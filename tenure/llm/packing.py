@@ -20,8 +20,10 @@ digests; extra columns are not read; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,29 +38,50 @@ from .common import as_binary, chunks, utf8
 CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 100_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
 
 
 class WordIds(dict):
-    """Ids of a blank-separated word as little-endian bytes."""
+    """Ids of blank-separated words as little-endian bytes, made for many words at a time."""
 
     def __init__(self, tokenizer: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task on each core already
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.encode = Tokenizer.from_file(tokenizer).encode
+        own = Tokenizer.from_file(tokenizer)
+        self.encode = getattr(own, "encode_batch_fast", own.encode_batch)
 
-    def __missing__(self, word: bytes) -> bytes:
+    def add(self, texts: list[list[bytes]]) -> None:
+        """Make the ids of all words of the texts that are not known yet."""
         if len(self) > CACHE_WORDS:
             self.clear()
-        ids = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        out = self[word] = np.array(ids, "<u4").tobytes()
-        return out
+        new = set(chain.from_iterable(texts)).difference(self)
+        parts = {word: plain(word) for word in new}
+        bare = list({x for some in parts.values() for x in some}.difference(self))
+        coded = self.encode([x.decode("utf-8", "replace") for x in bare], add_special_tokens=False)
+        self.update((x, np.array(c.ids, "<u4").tobytes()) for x, c in zip(bare, coded, strict=True))
+        self.update((word, b"".join(map(self.__getitem__, some))) for word, some in parts.items() if some != (word,))
 
 
-def token_bytes(text: bytes, words: WordIds, end_id: int = END_ID) -> bytes:
+def plain(word: bytes) -> tuple[bytes, ...]:
+    """Parts of a word that are tokenised alone with the same ids: A-Z lower-cased, a last full stop or comma apart.
+
+    The tokenizer lower-cases and cuts between letters and other characters
+    itself; fewer different parts are to be tokenised. Words that might hold a
+    special token's name stay as they are.
+    """
+    if b"<|" in word:
+        return (word,)
+    word = word.lower()
+    if word[-1:] in (b".", b",") and len(word) > 1 and 97 <= word[-2] <= 122:
+        return word[:-1], word[-1:]
+    return (word,)
+
+
+def token_bytes(words: list[bytes], known: WordIds, end_id: int = END_ID) -> bytes:
     """The document's ids and its end id, four bytes each."""
-    return b"".join(map(words.__getitem__, text.split())) + end_id.to_bytes(4, "little")
+    return b"".join(map(known.__getitem__, words)) + end_id.to_bytes(4, "little")
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -71,8 +94,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
         words = WordIds(tokenizer)
         for batch in chunks(batches):
             doc, part, start, length, crc, ids = [], [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch), strict=True):
-                raw = token_bytes(text, words)
+            split = [text.split() for text in utf8(batch)]
+            words.add(split)
+            for doc_id, own in zip(batch.column(0).to_pylist(), split, strict=True):
+                raw = token_bytes(own, words)
                 for k, a in enumerate(range(0, len(raw), 4 * capacity)):
                     piece = raw[a : a + 4 * capacity]
                     doc.append(doc_id)
