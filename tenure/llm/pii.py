@@ -26,6 +26,8 @@ that is a date.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,11 @@ def _chars(text: Column) -> Column:
     return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: lambda variables are the names that expressions have."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _shift(half: Column, hex_: Column) -> Column:
     def move(c: Column, i: Column) -> Column:
         by = _number(hex_, (i % 16) * 4 + 1, 4)
@@ -75,25 +82,25 @@ def _shift(half: Column, hex_: Column) -> Column:
 
 def permute_text(value: Column, key: str, tweak: Column) -> Column:
     """Feistel permutation of the texts that have this value's length and character classes."""
-    h = F.floor(F.length(value) / 2).cast("int")
-    start = F.struct(F.substr(value, F.lit(1), h).alias("a"), F.substr(value, h + 1, F.length(value)).alias("b"))
-
     def turn(s: Column, r: Column) -> Column:
-        return F.struct(s["b"].alias("a"), _shift(s["a"], _hex(key, tweak, r.cast("string"), s["b"])).alias("b"))
+        return _bind(_hex(key, tweak, r.cast("string"), s["b"]), lambda h: F.struct(s["b"].alias("a"), _shift(s["a"], h).alias("b")))
+
+    def halves(v: Column) -> Column:
+        h = F.floor(F.length(v) / 2).cast("int")
+        return F.struct(F.substr(v, F.lit(1), h).alias("a"), F.substr(v, h + 1, F.length(v)).alias("b"))
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn)
-    return F.concat(end["a"], end["b"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), _bind(value, halves), turn, lambda s: F.concat(s["a"], s["b"]))
 
 
-def permute_pair(left: Column, right: Column, a: int, b: int, key: str, tweak: Column) -> Column:
-    """Feistel permutation of Z_a x Z_b, as a struct (l, r)."""
+def permute_pair(left: Column, right: Column, a: int, b: int, key: str, tweak: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the image (l, r) under a Feistel permutation of Z_a x Z_b."""
     start = F.struct(left.cast("bigint").alias("l"), right.cast("bigint").alias("r"))
 
     def turn(s: Column, k: Column) -> Column:
         new = (s["l"] + _number(_hex(key, tweak, k.cast("string"), F.lit("l"), s["r"].cast("string")))) % a
-        return F.struct(new.alias("l"), ((s["r"] + _number(_hex(key, tweak, k.cast("string"), F.lit("r"), new.cast("string")))) % b).alias("r"))
+        return _bind(new, lambda n: F.struct(n.alias("l"), ((s["r"] + _number(_hex(key, tweak, k.cast("string"), F.lit("r"), n.cast("string")))) % b).alias("r")))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, use)
 
 
 def _only(value: Column, classes: str) -> Column:
@@ -102,8 +109,11 @@ def _only(value: Column, classes: str) -> Column:
 
 def _refill(shape: Column, filling: Column, classes: str) -> Column:
     """``shape`` with its characters of ``classes`` replaced, in order, by those of ``filling``."""
-    at = F.transform(_chars(shape), lambda c, i: F.when(c.rlike(f"[{classes}]"), F.substr(filling, F.length(_only(F.substr(shape, F.lit(1), i + 1), classes)), F.lit(1))).otherwise(c))
-    return F.array_join(at, "")
+    def refilled(f: Column) -> Column:
+        at = F.transform(_chars(shape), lambda c, i: F.when(c.rlike(f"[{classes}]"), F.substr(f, F.length(_only(F.substr(shape, F.lit(1), i + 1), classes)), F.lit(1))).otherwise(c))
+        return F.array_join(at, "")
+
+    return _bind(filling, refilled)
 
 
 def _luhn(digits: Column) -> Column:
@@ -123,85 +133,146 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(_chars(text), F.lit(0), add)
 
 
-def _card(x: Column, key: str) -> tuple[Column, Column]:
-    digits = _only(x, "0-9")
-    body = permute_text(F.substr(digits, F.lit(1), F.length(digits) - 1), key, F.lit("card"))
-    check = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
-    return _luhn(digits) % 10 == 0, _refill(x, F.concat(body, check.cast("string")), "0-9")
+def _card_valid(x: Column) -> Column:
+    return _luhn(_only(x, "0-9")) % 10 == 0
+
+
+def _card(x: Column, key: str) -> Column:
+    def image(body: Column) -> Column:
+        check = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
+        return _refill(x, F.concat(body, check.cast("string")), "0-9")
 
+    return _bind(_only(x, "0-9"), lambda d: _bind(permute_text(F.substr(d, F.lit(1), F.length(d) - 1), key, F.lit("card")), image))
 
-def _iban(x: Column, key: str) -> tuple[Column, Column]:
+
+def _iban_valid(x: Column) -> Column:
     flat = _only(x, "A-Z0-9")
-    country = F.substr(flat, F.lit(1), F.lit(2))
-    body = permute_text(F.substr(flat, F.lit(5), F.length(flat)), key, F.concat(F.lit("iban"), country))
-    check = F.lpad((98 - _mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0")
-    valid = _mod97(F.concat(F.substr(flat, F.lit(5), F.length(flat)), F.substr(flat, F.lit(1), F.lit(4)))) == 1
-    return valid & F.length(flat).between(15, 34), _refill(x, F.concat(country, check, body), "A-Z0-9")
+    return F.length(flat).between(15, 34) & (_mod97(F.concat(F.substr(flat, F.lit(5), F.length(flat)), F.substr(flat, F.lit(1), F.lit(4)))) == 1)
+
+
+def _iban(x: Column, key: str) -> Column:
+    def image(flat: Column) -> Column:
+        country = F.substr(flat, F.lit(1), F.lit(2))
+
+        def filled(body: Column) -> Column:
+            check = F.lpad((98 - _mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0")
+            return _refill(x, F.concat(country, check, body), "A-Z0-9")
+
+        return _bind(permute_text(F.substr(flat, F.lit(5), F.length(flat)), key, F.concat(F.lit("iban"), country)), filled)
 
+    return _bind(_only(x, "A-Z0-9"), image)
 
-def _phone(x: Column, key: str) -> tuple[Column, Column]:
+
+def _phone_valid(x: Column) -> Column:
+    return F.length(_only(x, "0-9")).between(8, 15)
+
+
+def _phone(x: Column, key: str) -> Column:
     digits = _only(x, "0-9")
     code = F.regexp_extract(x, r"^\+([0-9]{1,3})(?=[ .(-])", 1)
     code = F.when(code != "", code).when(x.startswith("+"), F.substr(digits, F.lit(1), F.lit(1))).otherwise("")
-    rest = permute_text(F.substr(digits, F.length(code) + 1, F.length(digits)), key, F.concat(F.lit("phone"), code))
-    return F.length(digits).between(8, 15), _refill(x, F.concat(code, rest), "0-9")
 
+    def image(c: Column) -> Column:
+        rest = permute_text(F.substr(digits, F.length(c) + 1, F.length(digits)), key, F.concat(F.lit("phone"), c))
+        return _refill(x, F.concat(c, rest), "0-9")
+
+    return _bind(code, image)
+
+
+def _ipv4(x: Column, key: str) -> Column:
+    def shown(p: Column) -> Column:
+        parts = [F.floor(p["l"] / 256), p["l"] % 256, F.floor(p["r"] / 256), p["r"] % 256]
+        return F.concat_ws(".", *[v.cast("string") for v in parts])
 
-def _ipv4(x: Column, key: str) -> tuple[Column, Column]:
     o = F.transform(F.split(x, "[.]"), lambda v: v.cast("int"))
-    p = permute_pair(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, key, F.lit("ipv4"))
-    parts = [F.floor(p["l"] / 256), p["l"] % 256, F.floor(p["r"] / 256), p["r"] % 256]
-    return F.lit(True), F.concat_ws(".", *[v.cast("string") for v in parts])
+    return _bind(o, lambda o: permute_pair(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, key, F.lit("ipv4"), shown))
+
+
+def _ssn_parts(x: Column) -> list[Column]:
+    return [F.substr(x, F.lit(a), F.lit(n)).cast("int") for a, n in ((1, 3), (5, 2), (8, 4))]
+
 
+def _ssn_valid(x: Column) -> Column:
+    area, group, serial = _ssn_parts(x)
+    return area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
 
-def _ssn(x: Column, key: str) -> tuple[Column, Column]:
-    area, group, serial = (F.substr(x, F.lit(a), F.lit(n)).cast("int") for a, n in ((1, 3), (5, 2), (8, 4)))
-    valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+
+def _ssn(x: Column, key: str) -> Column:
+    def shown(p: Column) -> Column:
+        index = F.floor(p["l"] / 99)
+        area = index + F.when(index >= 665, 2).otherwise(1)
+        return F.concat_ws("-", F.lpad(area.cast("string"), 3, "0"), F.lpad((p["l"] % 99 + 1).cast("string"), 2, "0"), F.lpad((p["r"] + 1).cast("string"), 4, "0"))
+
+    area, group, serial = _ssn_parts(x)
     index = area - F.when(area > 666, 2).otherwise(1)  # 898 areas
-    p = permute_pair(index * 99 + group - 1, serial - 1, 898 * 99, 9999, key, F.lit("ssn"))
-    index = F.floor(p["l"] / 99)
-    area = index + F.when(index >= 665, 2).otherwise(1)
-    return valid, F.concat_ws("-", F.lpad(area.cast("string"), 3, "0"), F.lpad((p["l"] % 99 + 1).cast("string"), 2, "0"), F.lpad((p["r"] + 1).cast("string"), 4, "0"))
+    return permute_pair(index * 99 + group - 1, serial - 1, 898 * 99, 9999, key, F.lit("ssn"), shown)
 
 
-def _date(x: Column, key: str) -> tuple[Column, Column]:
+def _calendar(x: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a date's parts: iso, year, month and day if day first, both possible orders checked."""
     iso = F.substr(x, F.lit(5), F.lit(1)) == "-"
     n = F.split(x, "[-/.]")
-    year = F.when(iso, n[0]).otherwise(n[2]).cast("int")
-    one, two = n[1].cast("int"), F.when(iso, n[2]).otherwise(n[0]).cast("int")  # month, day if day first
-    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    parts = F.struct(
+        iso.alias("iso"), F.when(iso, n[0]).otherwise(n[2]).cast("int").alias("year"),
+        n[1].cast("int").alias("one"), F.when(iso, n[2]).otherwise(n[0]).cast("int").alias("two"),
+    )
+
+    def checked(d: Column) -> Column:
+        leap = (d["year"] % 4 == 0) & ((d["year"] % 100 != 0) | (d["year"] % 400 == 0))
+
+        def real(month: Column, day: Column) -> Column:
+            days = F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+            return d["year"].between(1801, 2200) & month.between(1, 12) & (day >= 1) & (day <= days)
 
-    def real(month: Column, day: Column) -> Column:
-        days = F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
-        return year.between(1801, 2200) & month.between(1, 12) & (day >= 1) & (day <= days)
+        straight = real(d["one"], d["two"])
+        return F.struct(d.alias("d"), straight.alias("straight"), (~d["iso"] & ~straight & real(d["two"], d["one"])).alias("swapped"))
 
-    swapped = ~iso & ~real(one, two) & real(two, one)
-    month, day = F.when(swapped, two).otherwise(one), F.when(swapped, one).otherwise(two)
+    return _bind(_bind(parts, checked), use)
+
+
+def _date_valid(x: Column) -> Column:
+    return _calendar(x, lambda c: c["straight"] | c["swapped"])
+
+
+def _date(x: Column, key: str) -> Column:
     first = F.lit("1801-01-01").cast("date")
-    valid = real(one, two) | swapped
-    at = F.datediff(F.make_date(F.when(valid, year), F.when(valid, month), F.when(valid, day)), first)
-    p = permute_pair(F.floor(at / 773), at % 773, 189, 773, key, F.lit("date"))
-    new = F.date_add(first, (p["l"] * 773 + p["r"]).cast("int"))
-    fmt = lambda f: F.date_format(new, f)
     mark = F.substr(x, F.lit(3), F.lit(1))
-    return valid, F.when(iso, fmt("yyyy-MM-dd")).when(swapped, F.concat_ws("/", fmt("MM"), fmt("dd"), fmt("yyyy"))).otherwise(F.concat(fmt("dd"), mark, fmt("MM"), mark, fmt("yyyy")))
+
+    def image(c: Column) -> Column:
+        d, swapped = c["d"], c["swapped"]
+        month, day = F.when(swapped, d["two"]).otherwise(d["one"]), F.when(swapped, d["one"]).otherwise(d["two"])
+        at = F.datediff(F.make_date(d["year"], month, day), first)
+
+        def shown(p: Column) -> Column:
+            def text(new: Column) -> Column:
+                fmt = lambda f: F.date_format(new, f)
+                usual = F.concat(fmt("dd"), mark, fmt("MM"), mark, fmt("yyyy"))
+                return F.when(d["iso"], fmt("yyyy-MM-dd")).when(swapped, F.concat_ws("/", fmt("MM"), fmt("dd"), fmt("yyyy"))).otherwise(usual)
+
+            return _bind(F.date_add(first, (p["l"] * 773 + p["r"]).cast("int")), text)
+
+        return _bind(at, lambda at: permute_pair(F.floor(at / 773), at % 773, 189, 773, key, F.lit("date"), shown))
+
+    return _calendar(x, image)
 
 
-def _email(x: Column, key: str) -> tuple[Column, Column]:
+def _email(x: Column, key: str) -> Column:
     local, domain = F.substring_index(x, "@", 1), F.substring_index(x, "@", -1)
-    return F.lit(True), F.concat(permute_text(local, key, F.concat(F.lit("email"), F.lower(domain))), F.lit("@"), domain)
+    return F.concat(permute_text(local, key, F.concat(F.lit("email"), F.lower(domain))), F.lit("@"), domain)
 
 
+_VALID = {"iban": _iban_valid, "date": _date_valid, "ssn": _ssn_valid, "card": _card_valid, "phone": _phone_valid}
 _IMAGES = {"email": _email, "iban": _iban, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
 
 
-def valid_kind(x: Column, key: str) -> Column:
+def valid_kind(x: Column) -> Column:
     """The first kind whose pattern and validation the candidate passes, or null."""
     kind = F.lit(None).cast("string")
     for name in reversed(KINDS):
-        valid, _ = _IMAGES[name](x, key)
-        whole = "^(?:" + PATTERNS[name] + ")$"
-        kind = F.when(x.rlike(whole) & F.when(x.rlike(whole), valid).otherwise(False), name).otherwise(kind)
+        fits = x.rlike("^(?:" + PATTERNS[name] + ")$")
+        if name in _VALID:
+            fits = F.when(fits, _VALID[name](x)).otherwise(False)
+        kind = F.when(fits, name).otherwise(kind)
     return kind
 
 
@@ -212,12 +283,12 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = rows.withColumn("found", F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
     rows = rows.withColumn("between", F.when(F.size("found") > 0, F.split(text, pattern, -1)))
-    rows = rows.withColumn("kinds", F.transform("found", lambda x: valid_kind(x, key)))
+    rows = rows.withColumn("kinds", F.transform("found", valid_kind))
 
     def image(x: Column, kind: Column) -> Column:
         out = x
         for name in KINDS:
-            out = F.when(kind == name, _IMAGES[name](x, key)[1]).otherwise(out)
+            out = F.when(kind == name, _IMAGES[name](x, key)).otherwise(out)
         return out
 
     rows = rows.withColumn("images", F.zip_with("found", "kinds", image))
