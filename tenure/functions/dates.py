@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+MICROS_PER_DAY = 86_400_000_000
+
+
 def as_of_date(value: str | dt.date | None = None) -> Column:
     """The reference day for point-in-time questions.
 
@@ -45,7 +48,8 @@ def whole_days(df: DataFrame, start: str, end: str) -> Column:
     """Whole days from ``start`` to ``end``; the end day itself is not counted.
 
     On dates this is ``datediff``. With a time of day on either side the
-    elapsed time is floored to days, so 22 hours backwards is -1, not 0.
+    elapsed time is floored to days, to the microsecond: 22 hours backwards is
+    -1, not 0.
     Inverted intervals give negative values; nulls give null.
     """
     types = {df.schema[start].dataType, df.schema[end].dataType}
@@ -53,7 +57,8 @@ def whole_days(df: DataFrame, start: str, end: str) -> Column:
         return F.datediff(F.col(end), F.col(start))
     if types <= {T.DateType(), T.TimestampNTZType()}:
         # Wall-clock values: no time zone, so no daylight-saving hour sneaks in.
-        secs = F.timestamp_diff("SECOND", F.col(start).cast("timestamp_ntz"), F.col(end).cast("timestamp_ntz"))
+        micros = F.timestamp_diff("MICROSECOND", F.col(start).cast("timestamp_ntz"), F.col(end).cast("timestamp_ntz"))
     else:
-        secs = F.unix_timestamp(F.col(end).cast("timestamp")) - F.unix_timestamp(F.col(start).cast("timestamp"))
-    return F.floor(secs / F.lit(86400)).cast("int")
+        micros = F.unix_micros(F.col(end).cast("timestamp")) - F.unix_micros(F.col(start).cast("timestamp"))
+    # whole numbers throughout: a double would round long intervals
+    return F.call_function("div", micros - F.pmod(micros, F.lit(MICROS_PER_DAY)), F.lit(MICROS_PER_DAY)).cast("int")

@@ -22,7 +22,6 @@ from tenure.operators.ranking import (
     first_per_group,
     number_by_ranges,
     prefix_by_ranges,
-    sort_key,
     sort_orders,
     split_hot_groups,
 )
@@ -109,18 +108,10 @@ def latest_position(
         return e.join(latest, K, "left").select(*out)
 
     e = with_join_key(emp.select(F.col("Id").alias("_eid"), *e_attrs), KEY, key_mode)
-    pick_order = ["_eid", KEY]
-    one_per_key = first_per_group(e.join(latest.select(K), K, "left_semi"), [K], pick_order)
-    matched = one_per_key.join(latest, K, "inner").select(*out)
-    # The shared null partition: one row out of all employees without history,
-    # picked by a global aggregate (partial per task, so never one big task).
-    unmatched = e.join(latest.select(K), K, "left_anti")
-    one = unmatched.agg(F.min_by(F.struct(*e_attrs), sort_key(pick_order)).alias("_top"))
-    one = one.filter(F.col("_top").isNotNull()).select("_top.*")
-    hist_types = dict(latest.dtypes)
-    for c in _position_columns(hist):
-        one = one.withColumn(c, F.lit(None).cast(hist_types[c]))
-    return matched.unionByName(one.select(*out))
+    # Employees without history share the null group; the aggregate's partial
+    # step leaves one row of it per task, so it never fills one task.
+    joined = e.join(latest, K, "left").withColumn("_hk", F.when(F.col("PhEmployeeId").isNotNull(), F.col(K)))
+    return first_per_group(joined, ["_hk"], ["_eid", KEY], carry=out).select(*out)
 
 
 def _history_with_duration(hist: DataFrame, key_mode: str) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import EMPLOYEE_ROWS, SCRIPT_HISTORY_ROWS, rows
 from tenure import schemas as S
+from tenure.functions.dates import whole_days
 from tenure.functions.text import CASE_INSENSITIVE
 from tenure.plans import queries as Q
 from tenure.sources.tables import literal_rows
@@ -117,7 +119,6 @@ def test_text_dates_are_parsed_and_bad_dates_raise(spark):
 
 
 def test_whole_days_on_wall_clock_timestamps_ignore_dst(spark):
-    from tenure.functions.dates import whole_days
 
     df = spark.createDataFrame(
         [(dt.datetime(2022, 3, 12, 12, 0), dt.datetime(2022, 3, 14, 12, 0)),
@@ -151,3 +152,16 @@ def test_row_index_with_case_insensitive_keys(emp2, hist2):
     assert fast.exceptAll(general).count() == 0 and general.exceptAll(fast).count() == 0
     case_rows = [r for r in fast.collect() if r.EmployeeId == "abc01 "]
     assert [r.PosTitle for r in case_rows] == ["Case Variant"]
+
+
+def test_whole_days_keep_the_part_of_a_second(spark):
+    rows = spark.sql(
+        """select * from values
+        (timestamp'2022-01-01 00:00:00.9', timestamp'2022-01-02 00:00:00.1', 0),
+        (timestamp'2022-01-01 00:00:00.4', timestamp'2022-01-01 00:00:00.0', -1),
+        (timestamp'2022-01-01 00:00:00', timestamp'2022-01-03 00:00:00', 2),
+        (timestamp'1801-01-01 00:00:00', timestamp'2200-01-01 00:00:00', 145732) as t(a, b, days)"""
+    )
+    for kind in ("timestamp", "timestamp_ntz"):
+        typed = rows.select(F.col("a").cast(kind), F.col("b").cast(kind), "days")
+        assert typed.where(whole_days(typed, "a", "b") != F.col("days")).count() == 0
