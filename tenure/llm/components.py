@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from tenure.session import materialize
 
+#: Links that one task contracts at once (about 150 MB in numpy).
+TASK_LINKS = 2_000_000
+
 
 def merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
     """Unite i[k] and j[k] in place; ``label`` points each member to the smallest of its set."""
@@ -43,16 +46,24 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) for every linked node but the roots; ``links`` has long columns a, b.
 
-    Partitions first contract their own links to stars. While the whole is not
-    yet a set of stars, large-star and small-star steps alternate: each node's
-    smallest neighbour comes from an aggregate with a partial step, then a join
-    on the node (split by AQE where a node has very many links). Every round is
+    Partitions first contract their own links to stars; there are as many
+    partitions as TASK_LINKS links each need, by an exact count. Links that fit
+    one partition are thereby done. Otherwise, while the whole is not yet a set
+    of stars, large-star and small-star steps alternate: each node's smallest
+    neighbour comes from an aggregate with a partial step, then a join on the
+    node (split by AQE where a node has very many links). Every round is
     written to the shared folder, so lineage stays short and a lost executor
     redoes one round. The links stay on the executors; the driver sees counts.
     """
-    edges = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    n = links.count()
     while True:
-        edges = materialize(edges.mapInArrow(_contract, "u bigint, v bigint").distinct(), "components")
+        parts = max(1, -(-n // TASK_LINKS))
+        edges = edges.coalesce(parts).mapInArrow(_contract, "u bigint, v bigint")
+        if parts == 1:  # one partition's stars are those of all links
+            return materialize(edges, "components").select(F.col("u").alias("node"), F.col("v").alias("root"))
+        edges = materialize(edges.distinct(), "components")
+        n = edges.count()
         per = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
         if per.where("n > 1").isEmpty() and edges.join(edges.select(F.col("v").alias("u")), "u", "left_semi").isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

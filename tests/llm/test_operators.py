@@ -261,3 +261,29 @@ def test_models_on_held_out_rows(spark):
     got = toxicity.predict(docs, toxicity.learn(docs, labels)).where("held_out").join(labels, "doc_id").collect()
     bad, good = [r["score"] for r in got if r["toxic"] == 1], [r["score"] for r in got if r["toxic"] == 0]
     assert np.mean([x > y for x in bad for y in good]) > 0.7 and np.mean([y < 0.3 for y in good]) > 0.95
+
+
+@pytest.mark.parametrize("task_links", [40, 2_000_000])
+def test_components_over_few_and_many_partitions(spark, monkeypatch, task_links):
+    from tenure.llm import components
+
+    monkeypatch.setattr(components, "TASK_LINKS", task_links)
+    rng = np.random.default_rng(5)
+    pairs = [(k, k + 1) for k in range(1000, 1060)]  # a chain
+    pairs += [(2000, 2000 + k) for k in range(1, 50)]  # a star
+    pairs += [tuple(map(int, rng.integers(0, 300, 2))) for _ in range(120)]  # loops and repeats among them
+    pairs += pairs[:30]
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        p, q = root(a), root(b)
+        up[max(p, q)] = min(p, q)
+    links = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(8)
+    got = {r["node"]: r["root"] for r in components.connected(links).collect()}
+    assert got == {x: root(x) for x in up if root(x) != x}
+    assert components.connected(links.where("a < 0")).count() == 0
