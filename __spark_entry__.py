@@ -126,7 +126,7 @@ def _copy_tables(spark, sf_dir):
     for name in COPIED_TABLES:
         read_table(spark, sf_dir, name).createOrReplaceTempView(name)
     names = tables_named(spark, COPIED_TABLES)
-    return copy_tables(spark, names, spark.table, root)
+    return copy_tables(spark, sorted(names), spark.table, root)
 
 
 def _etl(spark, sf_dir):
@@ -353,8 +353,10 @@ from position_history
 """
 
 _COPY_TABLES = """
-select 'customer' as table_name, 'src_customer' as target, count(*) as rows_copied from customer
-union all select 'orders', 'src_orders', count(*) from orders
+select table_name, target, rows_copied,
+       cast(sum(rows_copied) over (order by table_name) as bigint) as running_total
+from (select 'customer' as table_name, 'src_customer' as target, count(*) as rows_copied from customer
+      union all select 'orders', 'src_orders', count(*) from orders)
 """
 
 _ETL_AUDIT = f"""

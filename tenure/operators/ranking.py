@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 from tenure.session import (
     HOT_GROUP_ROWS,
     HOT_GROUP_ROWS_DEFAULT,
-    HOT_SAMPLE_HITS,
-    HOT_SAMPLE_HITS_DEFAULT,
     MAX_BROADCAST_ROWS,
     MAX_BROADCAST_ROWS_DEFAULT,
     ROWS_PER_RANGE,
@@ -125,10 +123,9 @@ class HotSplit:
 def split_hot_groups(df: DataFrame, keys: list[str], min_rows: int | None = None) -> HotSplit:
     """Separate groups with at least ``min_rows`` rows from the rest.
 
-    For large ``min_rows`` a sample first names the candidate keys (see
-    below), so only their rows are counted. The count is exact (a partial
-    aggregate over the key columns only; Catalyst prunes everything else from
-    the source plan) and one job both computes and measures the list, which
+    The count is exact: a partial aggregate over the key columns only (Catalyst
+    prunes everything else from the source plan), so a hot key is one row per
+    task before the shuffle. One job both computes and measures the list, which
     is kept persisted for the joins below. The list is
     deterministic, so a lost block is recomputed to the same keys. There are at
     most ``rows / min_rows`` hot groups; the list is broadcast only when its
@@ -142,33 +139,8 @@ def split_hot_groups(df: DataFrame, keys: list[str], min_rows: int | None = None
     if min_rows <= 0:
         return HotSplit(df, None, None, True)
     limit = conf_int(spark, MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT)
-    counted = df
-    hits = conf_int(spark, HOT_SAMPLE_HITS, HOT_SAMPLE_HITS_DEFAULT)
-    fraction = hits / min_rows
-    if fraction < 1.0:
-        # Screen on a sample first: a group of min_rows rows is expected
-        # ``hits`` times in it, so keys seen at least hits/2 times are the only
-        # candidates worth an exact count. Spread keys then cost a shuffle of a
-        # sample, not of one (key, count) pair per row. Routing stays exact:
-        # candidates are verified by the full count below, and a key the
-        # sample misses (vanishingly unlikely far above min_rows) simply goes
-        # through the ordinary window.
-        candidates = keep(
-            df.select(*keys)
-            .sample(fraction=fraction, seed=20240403)
-            .groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("_seen"))
-            .filter(F.col("_seen") >= F.lit(max(1, hits // 2)))
-            .select(*keys)
-        )
-        n_candidates = candidates.count()
-        if n_candidates == 0:
-            candidates.unpersist()
-            return HotSplit(df, None, None, True)
-        if n_candidates <= limit:
-            counted = df.join(F.broadcast(candidates), keys, "left_semi")
     hot_keys = keep(
-        counted.groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") >= F.lit(min_rows))
     )

@@ -36,8 +36,6 @@ MAX_BROADCAST_ROWS = "tenure.maxBroadcastRows"
 MAX_BROADCAST_ROWS_DEFAULT = 2_000_000
 ROWS_PER_RANGE = "tenure.rowsPerRange"
 ROWS_PER_RANGE_DEFAULT = 4_000_000
-HOT_SAMPLE_HITS = "tenure.hotSampleHits"
-HOT_SAMPLE_HITS_DEFAULT = 1_000
 
 
 def build_session(

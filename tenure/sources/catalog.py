@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tenure.sinks.replace import replace_table
 
@@ -33,9 +33,10 @@ def copy_tables(
 ) -> DataFrame:
     """Copy each named table to ``<root>/<prefix><name>`` with a staged full replace.
 
-    Each table is one Spark job (read, write); row counts are observed during
-    the write, not by a second scan. Returns ``(table_name, target, rows_copied)``
-    read back from the written copies, so the answer reflects what landed.
+    Each table is one Spark job (read, write). The rows counted during the
+    write must equal the rows of the landed copy, else this raises. Returns
+    ``(table_name, target, rows_copied, running_total)``, totalled in the order
+    of ``names``.
     The list is of table names; the copy never iterates over cell values.
     ``bucket_by`` maps a table name to ``(buckets, columns)`` for copies that
     later queries join on those columns. Up to ``parallel`` copies run as
@@ -45,17 +46,17 @@ def copy_tables(
     if not names:
         raise ValueError("no tables to copy")
 
-    def one(name: str) -> DataFrame:
+    def one(name: str) -> tuple[str, str, int]:
         target = f"{prefix}{name}"
         spec = (bucket_by or {}).get(name)
         written = replace_table(read(name), target, root, run_id=run_id, bucket_by=spec)
-        return written.path_frame(spark).agg(F.count(F.lit(1)).alias("rows_copied")).select(
-            F.lit(name).alias("table_name"), F.lit(target).alias("target"), "rows_copied"
-        )
+        landed = written.path_frame(spark).count()
+        if landed != written.rows:
+            raise ValueError(f"{target}: {written.rows} rows written, {landed} landed")
+        return name, target, written.rows
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(names)))) as pool:
         copies = list(pool.map(one, names))  # results in the order of names; errors re-raised
-    out = copies[0]
-    for c in copies[1:]:
-        out = out.unionByName(c)
-    return out
+    totals = accumulate(rows for *_, rows in copies)
+    report = [(*copy, total) for copy, total in zip(copies, totals, strict=True)]
+    return spark.createDataFrame(report, "table_name string, target string, rows_copied bigint, running_total bigint")
