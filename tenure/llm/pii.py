@@ -14,9 +14,16 @@ documents, different ones stay different, and the image is valid again.
   from Z_a x Z_b, and rounds add keyed hashes modulo a and b in turn. Dates from
   1801 to 2200 are one calendar cycle of 146,097 = 189 x 773 days.
 
+Candidates are looked for at every place. Where one fails, the other kinds at
+the same place, for IBANs their shorter forms (the length of the country, any
+length for countries not listed), and all places after it are tried; the first
+valid value from the left wins. Only phone numbers, which have no check of their
+own, are not looked for inside a candidate that failed, or every number with a
+wrong check digit would be taken for one.
+
 Check digits are computed anew. Country codes of phones and IBANs and the
 domains of e-mail addresses stay. Everything runs in the JVM as one map over
-the input; the key never enters the data. Candidates that fail validation stay.
+the input; the key never enters the data. Text without a valid value stays.
 
 Defined results: null text stays null and has count 0; empty text stays empty;
 repeated rows get equal rows; an empty table gives an empty table; other
@@ -36,6 +43,13 @@ ROUNDS = 8
 KINDS = ("email", "iban", "ipv4", "date", "ssn", "card", "phone")
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+# Phone numbers in groups of two with one separator, all of them or only the last two.
+_PAIRS = (
+    r"|\+[0-9]{{1,3}}[ .-]?(?:\(0\)[ .-]?)?(?:[0-9]{{1,3}}{s})?[0-9]{{2}}(?:{s}[0-9]{{2}}){{2,3}}(?![0-9])"
+    r"|(?:\([0-9]{{2,5}}\)[ .-]?|(?<![0-9])(?:0[0-9]{{1,4}}|[0-9]{{3}}){s})[0-9]{{2}}(?:{s}[0-9]{{2}}){{2,3}}(?![0-9])"
+    r"|(?<![0-9])[0-9]{{2}}(?:{s}[0-9]{{2}}){{3,4}}(?![0-9])"
+    r"|(?:\+[0-9]{{1,3}}[ .-]?(?:\(0\)[ .-]?)?)?(?:\([0-9]{{2,5}}\)|(?<![0-9])[0-9]{{2,4}})[ .-]?[0-9]{{3}}{s}[0-9]{{2}}{s}[0-9]{{2}}(?![0-9])"
+)
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -43,10 +57,21 @@ PATTERNS = {
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![A-Za-z0-9])(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![A-Za-z0-9])",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|(?<![0-9])[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|\+[0-9]{8,15}(?![0-9])",
+    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|(?<![0-9])[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|\+[0-9]{8,15}(?![0-9])"
+    + "".join(_PAIRS.format(s=sep) for sep in (" ", "[.]", "-")),
 }
 #: Texts without any of these hold no candidate and skip the full pattern.
 HINT = "[0-9@]"
+#: Characters from a candidate's start that hold any candidate but an e-mail address, and what its pattern looks at behind it.
+WINDOW = 64
+#: Starts that are settled in one go; bounds the copying in texts with very many.
+RUN = 256
+# IBAN lengths by country, from the registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 
 
 def _hex(key: str, *parts: Column) -> Column:
@@ -265,37 +290,101 @@ _VALID = {"iban": _iban_valid, "date": _date_valid, "ssn": _ssn_valid, "card": _
 _IMAGES = {"email": _email, "iban": _iban, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
 
 
-def valid_kind(x: Column) -> Column:
-    """The first kind whose pattern and validation the candidate passes, or null."""
-    kind = F.lit(None).cast("string")
-    for name in reversed(KINDS):
-        fits = x.rlike("^(?:" + PATTERNS[name] + ")$")
-        if name in _VALID:
-            fits = F.when(fits, _VALID[name](x)).otherwise(False)
-        kind = F.when(fits, name).otherwise(kind)
-    return kind
+def _iban_forms(whole: Column) -> Column:
+    """What may be the IBAN at the start of its longest match: all of it, or its words up to the country's length."""
+    words, country = F.split(whole, " "), F.substr(whole, F.lit(1), F.lit(2))
+    size = F.lit(None).cast("int")
+    for n, countries in IBAN_LENGTHS.items():
+        size = F.when(country.isin(countries.split()), n).otherwise(size)
+
+    def shorter(n: Column) -> Column:
+        heads = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(words, 1, k), " "))
+        exact = F.filter(heads, lambda x: F.length(_only(x, "A-Z0-9")) == n)
+        return F.concat(exact, F.when(n.isNull(), heads).otherwise(F.array(whole)))
+
+    return _bind(size, shorter)
+
+
+def _valid_at(context: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """``use`` of the first valid value after the first character (kind and value, or null) and of the length of what failed instead of it."""
+    def tried(name: str) -> Column:
+        def forms(whole: Column) -> Column:
+            every = _iban_forms(whole) if name == "iban" else F.array(whole)
+            valid = F.get(F.filter(every, _VALID[name]), F.lit(0)) if name in _VALID else whole
+            return F.struct(F.lit(name).alias("kind"), F.when(whole != "", valid).alias("value"), F.length(whole).alias("size"))
+
+        return _bind(F.regexp_extract(context, r"^[\s\S](" + PATTERNS[name] + ")", 1), forms)
+
+    def chosen(every: Column) -> Column:
+        best = F.get(F.filter(every, lambda x: x["value"].isNotNull()), F.lit(0))
+        lost = F.array_max(F.transform(every, lambda x: F.when(x["value"].isNull(), x["size"]).otherwise(0)))
+        return use(best, F.when(best["kind"] != "phone", 0).otherwise(lost))
+
+    return _bind(F.array(*map(tried, KINDS)), chosen)
+
+
+def _settled(starts: Column) -> Column:
+    """For every start: the kind replaced there (or null) and how many characters of its part belong to replaced values.
+
+    ``starts`` have kind, value, failed and ``part``, the number of characters up to the next start.
+    """
+    flags = "array<struct<kind:string,cut:int>>"
+
+    def step(s: Column, x: Column) -> Column:
+        free = s["skip"] == 0
+        barred = F.when(free & (s["barred"] == 0), x["failed"]).otherwise(s["barred"])
+        take = free & x["kind"].isNotNull() & ((x["kind"] != "phone") | (barred == 0))
+        cut = F.when(take, F.length(x["value"])).otherwise(s["skip"])
+        flag = F.struct(F.when(take, x["kind"]).alias("kind"), cut.alias("cut"))
+        left = lambda n: F.greatest(n - x["part"], F.lit(0))
+        return F.struct(left(cut).alias("skip"), left(barred).alias("barred"), F.concat(s["flags"], F.array(flag)).cast(flags).alias("flags"))
+
+    def run(s: Column, k: Column) -> Column:
+        begin = F.struct(s["skip"].alias("skip"), s["barred"].alias("barred"), F.array().cast(flags).alias("flags"))
+        one = F.aggregate(F.slice(starts, k * RUN + 1, F.lit(RUN)), begin, step)
+        return _bind(one, lambda r: F.struct(r["skip"].alias("skip"), r["barred"].alias("barred"), F.concat(s["runs"], F.array(r["flags"])).cast(f"array<{flags}>").alias("runs")))
+
+    begin = F.struct(F.lit(0).alias("skip"), F.lit(0).alias("barred"), F.array().cast(f"array<{flags}>").alias("runs"))
+    runs = F.sequence(F.lit(0), F.floor((F.size(starts) - 1) / RUN).cast("int"))
+    return F.aggregate(runs, begin, run, lambda s: F.flatten(s["runs"]))
 
 
 def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text with pseudonyms, the number replaced of each kind, and their total."""
-    pattern = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
+    other = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS if k != "email")
+    # matches nothing, but stands before every place where a candidate begins, and sees what follows
+    start = rf"(?=({PATTERNS['email']}|(?={other})[\s\S]{{1,{WINDOW}}}))"
     text = F.col("text")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = rows.withColumn("found", F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
-    rows = rows.withColumn("between", F.when(F.size("found") > 0, F.split(text, pattern, -1)))
-    rows = rows.withColumn("kinds", F.transform("found", valid_kind))
+    # a line feed in front, so that something stands before each candidate
+    rows = rows.withColumn("led", F.when(text.rlike(HINT), F.concat(F.lit("\n"), text)))
+    rows = rows.withColumn("ahead", F.regexp_extract_all("led", F.lit(start), F.lit(1)))
+    some = F.size("ahead") > 0
+    rows = rows.withColumn("parts", F.when(some, F.split("led", start, -1)))
+
+    def at(x: Column, i: Column) -> Column:
+        def found(best: Column, failed: Column) -> Column:
+            return F.struct(best["kind"].alias("kind"), best["value"].alias("value"), failed.alias("failed"), F.length(F.get("parts", i + 1)).alias("part"))
+
+        return _valid_at(F.concat(F.right(F.get("parts", i), F.lit(1)), x), found)
+
+    rows = rows.withColumn("starts", F.when(some, F.transform("ahead", at)))
+    rows = rows.withColumn("flags", F.when(some, _settled(F.col("starts"))))
 
     def image(x: Column, kind: Column) -> Column:
-        out = x
+        out = F.lit("")
         for name in KINDS:
             out = F.when(kind == name, _IMAGES[name](x, key)).otherwise(out)
         return out
 
-    rows = rows.withColumn("images", F.zip_with("found", "kinds", image))
-    new = F.array_join(F.flatten(F.transform("between", lambda p, i: F.when(i < F.size("images"), F.array(p, F.get("images", i))).otherwise(F.array(p)))), "")
+    def shown(x: Column, i: Column) -> Column:
+        part = F.get("parts", i + 1)
+        return _bind(F.get("flags", i), lambda f: F.concat(image(x["value"], f["kind"]), F.substr(part, f["cut"] + 1, F.length(part))))
+
+    new = F.concat(F.substr(F.get("parts", F.lit(0)), F.lit(2)), F.array_join(F.transform("starts", shown), ""))
 
     def count(name: str) -> Column:
-        return F.coalesce(F.size(F.filter("kinds", lambda k: k == name)), F.lit(0)).cast("long").alias("n_" + name)
+        return F.when(some, F.size(F.filter("flags", lambda f: f["kind"] == name))).otherwise(0).cast("long").alias("n_" + name)
 
     counts = [count(name) for name in KINDS]
     out = rows.select("doc_id", F.coalesce(new, text).alias("text"), *counts)

@@ -226,6 +226,33 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert got[2]["text"] == texts[2] and got[1]["n_replaced"] == 5
 
 
+def test_pseudonyms_inside_failed_candidates(spark):
+    valid = {
+        "iban": ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332"],
+        "card": ["4111 1111 1111 1111"],
+        "phone": ["01 23 45 67 89", "+33 1 23 45 67 89", "+45 12 34 56 78", "+41 44 668 18 00", "(495) 123-45-67", "030 12 34 56 78"],
+    }
+    around = ["pay {} EUR now", "{} BIC CAIXESBBXXX", "{} 12 PAID", "XY12 {}", "2024 {}", "2024 {} END", "{}, 2021-02-30"]
+    used = {"iban": around[:4] + around[6:], "card": around[4:], "phone": ["tel {}, x", "{}", *around[6:]]}
+    rows = [(kind, v, a) for kind in valid for v in valid[kind] for a in used[kind]]
+    # wrong check digits, alone and before a phone number, stay
+    wrong = ["1234 5678 9012 3456", "BE69 5390 0754 7034 EUR", "4111 1111 1111 1112", "2021-02-30 10 20"]
+    texts = [a.format(v) for _, v, a in rows] + wrong + [wrong[0] + " 202 555 0143"]
+    got = [r for r in pii.pseudonymised(docs_of(spark, [(i, t, None, None) for i, t in enumerate(texts)]), "k").orderBy("doc_id").collect()]
+    images = {}
+    for (kind, v, a), r in zip(rows, got, strict=False):
+        head, tail = a.split("{}")
+        image = r["text"][len(head) : len(r["text"]) - len(tail)]
+        assert r["text"] == head + image + tail and image != v and len(image) == len(v), r
+        assert r["n_" + kind] == r["n_replaced"] == 1 and images.setdefault(v, image) == image, r
+    last = got[len(rows) :]
+    assert [r["text"] for r in last[:-1]] == wrong and last[-1]["text"].startswith(wrong[0] + " ") and last[-1]["n_phone"] == 1
+    # many candidates in one text, each found once
+    many = " ".join(f"2024 4111 1111 1111 1111 {k:03}, 2020-02-29;" for k in range(700))
+    r = pii.pseudonymised(docs_of(spark, [(1, many, None, None)]), "k").first()
+    assert (r["n_card"], r["n_date"], r["n_replaced"], len(r["text"])) == (700, 700, 1400, len(many)) and "1111 1111" not in r["text"]
+
+
 def test_repetition_counts(spark):
     rng = random.Random(1)
     text = "\n".join([prose(rng, 10), "same line here", prose(rng, 60), "same line here", "", ""]) + " #$"
