@@ -2,18 +2,19 @@
 
 Candidates are found by patterns in each whole text, with their positions. The
 values' hashes are then counted over the corpus by distinct repositories and
-owners: a value that several owners have is a copied example; one that a
-single owner has, and that looks random, is taken to be live. Further kinds of
+owners: a value that several owners or many repositories have is a copied
+example; one that a single owner has in few repositories, and that looks
+random, is taken to be live. Further kinds of
 tokens are reported only where ownership calls them live; the base kinds are
 always reported.
 
-Both counts are aggregates with partial steps over (value, owner), so a value
+Both counts are aggregates with partial steps over (value, owner or repository), so a value
 found in a third of all rows stays small, and the join back to the documents
 is split by AQE where one value is frequent. Texts are read once; only spans
 and hashes are written and shuffled.
 
 A span is the whole match, in code points, end exclusive. Defined results: null
-text is empty and has no spans; a null owner is an owner of its own; repeated
+text is empty and has no spans; a null owner or repository is one of its own; repeated
 rows are one document for the counts and rows of their own in the result; an
 empty table gives an empty table; other columns are not read.
 """
@@ -47,6 +48,8 @@ MORE_LOOK = r"gh[opsur]_|xox[abprs]-|eyJ|-----BEGIN|(?i:bearer) |://[^\s:/@]{1,6
 KINDS = (*BASE, *MORE)
 #: A value with at least this many owners is a copied example.
 EXAMPLE_OWNERS = 3
+#: A value in at least this many repositories is a copied example, even with one owner.
+EXAMPLE_REPOS = 10
 #: Least distinct characters of a value that looks random.
 DISTINCT_CHARACTERS = 8
 
@@ -116,8 +119,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def ownership(found: DataFrame) -> DataFrame:
     """hash, n_owners, n_repos of every candidate value."""
     one = found.select("owner", "repo", F.explode(F.array_distinct(F.col("found.hash"))).alias("hash"))
-    per = one.groupBy("hash", "owner", "repo").agg(F.lit(1).alias("x")).groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"))
-    return per.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"))
+    # structs, so that null is an owner or repository too
+    return one.groupBy("hash").agg(F.count_distinct(F.struct("owner")).alias("n_owners"), F.count_distinct(F.struct("repo")).alias("n_repos"))
 
 
 def _joined(spans: Column) -> Column:
@@ -125,7 +128,8 @@ def _joined(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None) -> DataFrame:
-    """One row per document: counts and digest of the base spans, all spans, and how many values are live or examples.
+    """One row per document: counts and digest of the base spans, all spans, how many values are live or examples,
+    and the most owners and repositories that one of its values has.
 
     Without ``repo_col`` each document is a repository of its own.
     """
@@ -134,13 +138,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     # hashes shared by documents decide; one row per document and span goes to the join
     one = found.where(F.size("found") > 0).select("key", "found").dropDuplicates(["key"]).select("key", F.explode("found").alias("s"))
     one = one.select("key", "s", F.col("s.hash").alias("hash")).join(known, "hash")
-    live = F.col("s.random") & (F.col("n_owners") == 1)
+    example = (F.col("n_owners") >= EXAMPLE_OWNERS) | (F.col("n_repos") >= EXAMPLE_REPOS)
+    live = F.col("s.random") & (F.col("n_owners") == 1) & ~example
     base = F.col("s.rank") <= len(BASE)
-    spans = one.where(base | live).groupBy("key").agg(
-        F.sort_array(F.collect_list("s")).alias("all_spans"),
+    spans = one.groupBy("key").agg(
+        F.sort_array(F.collect_list(F.when(base | live, F.col("s")))).alias("all_spans"),
         F.sum(live.cast("long")).alias("n_live"),
-        F.sum((F.col("n_owners") >= EXAMPLE_OWNERS).cast("long")).alias("n_example"),
+        F.sum(example.cast("long")).alias("n_example"),
         F.max("n_owners").alias("most_owners"),
+        F.max("n_repos").alias("most_repos"),
     )
     rows = found.select("key", "doc_id", F.filter("found", lambda s: s["rank"] <= len(BASE)).alias("base")).join(spans, "key", "left")
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias("n_" + k)
@@ -148,4 +154,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     return rows.select(
         "doc_id", *[count(k) for k in BASE], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), F.coalesce(_joined(F.col("all_spans")), F.lit("")).alias("spans"),
         F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_example", zero).alias("n_example"), F.coalesce("most_owners", zero).alias("most_owners"),
+        F.coalesce("most_repos", zero).alias("most_repos"),
     )

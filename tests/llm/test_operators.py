@@ -212,6 +212,23 @@ def test_secret_spans_match_regular_expressions(spark):
         assert r["base_sha256"] == hashlib.sha256(",".join(x[2] for x in sorted(spans)).encode()).hexdigest()
 
 
+def test_copied_secrets_of_one_owner_are_examples(spark):
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("ABCDEFGHabcdefgh23456789") for _ in range(n))
+    sample, own, shared = (f"eyJ{word(12)}.{word(12)}.{word(12)}" for _ in range(3))
+    rows = [(i, f"see {sample} no {i}", None, "hot") for i in range(40)] + [(50, f"key {own}", None, "hot"), (51, f"{shared} a", None, "x"), (52, f"{shared} b", None, "y"), (53, f"{shared} c", None, None)]
+    rows += [(54, f"key {own} again", None, "hot")] * 30  # one document repeated
+    got = collections.defaultdict(set)
+    for r in secrets.scan(docs_of(spark, rows)).collect():
+        got[r["doc_id"]].add((r["spans"][:3], r["n_live"], r["n_example"], r["most_owners"], r["most_repos"]))
+    assert all(got[i] == {("", 0, 1, 1, 40)} for i in range(40))
+    assert got[50] == got[54] == {("jwt", 1, 0, 1, 2)}
+    assert got[51] == got[52] == got[53] == {("", 0, 1, 3, 3)}
+    # the same few repositories under two owners are not counted twice
+    few = spark.createDataFrame([(i, f"{own} {i}", f"o{i % 2}", f"r{i // 2}") for i in range(12)], "doc_id long, text string, source string, repo string")
+    assert {(r["n_live"], r["n_example"], r["most_owners"], r["most_repos"]) for r in secrets.scan(few, repo_col="repo").collect()} == {(0, 0, 2, 6)}
+
+
 def test_pseudonyms_keep_format_and_links(spark):
     texts = ["card 4111111111111111 ip 10.2.3.4 on 2020-02-29", "4111 1111 1111 1111, 10.2.3.4; 2020-02-29 mail a.b1@x.org +1 (974) 555-3436", "1234567890123456 2021-02-30"]
     got = [r for r in pii.pseudonymised(docs_of(spark, [(i, t, None, None) for i, t in enumerate(texts)]), "k").orderBy("doc_id").collect()]
