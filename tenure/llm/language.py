@@ -7,8 +7,9 @@ languages are ordered by share, nested sets are fitted again, and a further
 language must pay half a log of the word count. The largest share names the
 document.
 
-The model is fitted on a bounded sample of labelled rows (``max_rows``) and is
-a table of 2 ** GRAM_BITS hashed trigrams; scoring is a map over all documents
+The model is fitted on a sample of labelled rows (``max_rows`` of them, or
+MIN_ROWS for each language if that is more) and knows every language that has a
+row to learn from. It holds the counted ones of 2 ** GRAM_BITS hashed trigrams; scoring is a map over all documents
 with whole texts, in numpy over many texts at once, no shuffle.
 
 Defined results: null text, empty text and text without a letter give ``und``
@@ -29,7 +30,12 @@ from pyspark.sql import functions as F
 from .common import as_binary, chunks, free_name, held_out, utf8
 
 MAX_ROWS = 6000
-MAX_LANGUAGES = 200
+#: Labelled rows drawn of each language however many languages there are.
+MIN_ROWS = 20
+#: Models of more languages are summed over the trigrams they hold, not looked up in a full table.
+TABLE_LANGUAGES = 200
+#: Words (or runs) times languages that are held at once, unless one text alone has more.
+CELLS = 8 << 20
 GRAM_BITS = 16
 #: Texts of LONG_WORDS words or more are mixtures of runs of UNIT_WORDS words, shorter ones of words.
 LONG_WORDS = 32
@@ -42,8 +48,49 @@ MIN_SHARE = 0.4
 
 @dataclass
 class Model:
+    """Log probabilities of hashed trigrams: ``base`` of each language, plus ``more`` for those that it has."""
+
     languages: list[str]
-    weights: np.ndarray  # (2 ** GRAM_BITS, languages): log probabilities of hashed trigrams
+    base: np.ndarray
+    first: np.ndarray  # (2 ** GRAM_BITS + 1): where each trigram's entries begin
+    lang: np.ndarray
+    more: np.ndarray
+
+    def table(self) -> np.ndarray:
+        """(2 ** GRAM_BITS, languages)"""
+        full = np.tile(self.base, (1 << GRAM_BITS, 1))
+        full[np.repeat(np.arange(1 << GRAM_BITS), np.diff(self.first)), self.lang] += self.more
+        return full.astype(np.float32)
+
+    def summed(self, gram: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """Sums over the runs of ``gram`` that begin at ``cut``, by language."""
+        size = np.diff(np.append(cut, len(gram)))
+        out = size[:, None] * self.base
+        begin, n = self.first[gram], self.first[gram + 1] - self.first[gram]
+        run = np.repeat(np.arange(len(cut)), size)
+        step = np.searchsorted(np.cumsum(n), np.arange(0, n.sum() + CELLS, CELLS))
+        for a, b in zip(step, [*step[1:], len(gram)], strict=True):
+            k = n[a:b]
+            if k.sum():
+                at = np.repeat(begin[a:b] - np.cumsum(k) + k, k) + np.arange(k.sum())
+                low, high = run[a], run[b - 1] + 1
+                cell = (np.repeat(run[a:b], k) - low) * len(self.languages) + self.lang[at]
+                out[low:high] += np.bincount(cell, weights=self.more[at], minlength=(high - low) * len(self.languages)).reshape(high - low, -1)
+        return out.astype(np.float32)
+
+
+def model_of(names: pa.Array, gram: np.ndarray, n: np.ndarray) -> Model:
+    """The model of the counts ``n`` of ``gram`` in the languages ``names``, one entry for each pair."""
+    coded = names.dictionary_encode()
+    found = coded.dictionary.to_pylist()
+    languages = sorted(found)
+    number = {x: k for k, x in enumerate(languages)}
+    lang = np.array([number[x] for x in found], np.int32)[coded.indices.to_numpy()]
+    order = np.argsort(gram, kind="stable")
+    gram, lang, n = gram[order], lang[order], n[order]
+    total = np.bincount(lang, weights=n, minlength=len(languages)) + 0.02 * (1 << GRAM_BITS)
+    first = np.concatenate([[0], np.cumsum(np.bincount(gram, minlength=1 << GRAM_BITS))]).astype(np.int64)
+    return Model(languages, np.log(0.02 / total), first, lang, np.log((n + 0.02) / 0.02))
 
 
 _LOWER: list[np.ndarray] = []
@@ -81,22 +128,22 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS) -> Model:
-    """Fit on about ``max_rows`` labelled rows, shared evenly between the languages.
+    """Fit on about ``max_rows`` labelled rows, shared evenly between the languages, but at least about MIN_ROWS of each.
 
     The rows are drawn by a hash of their id at a rate from exact counts, so the
     sample is the same in every run and its size does not grow with the table.
+    The rows of the lowest hash of a language are always drawn, so none is lost.
     Rows held out (crc32 of the id mod 4 is 2) are never used.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").cast("string").alias("l"))
     rows = rows.where(F.col("l").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("i")))
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(MAX_LANGUAGES).collect()}
-    if not counts:
-        return Model([], np.zeros((1 << GRAM_BITS, 0), np.float32))
-    share, rate = max(1, max_rows // len(counts)), F.lit(0.0)
-    for lang, n in counts.items():
-        rate = F.when(F.col("l") == lang, F.lit(min(1.0, share / n))).otherwise(rate)
     # hashing the length as well spreads rows that repeat one id
-    drawn = rows.where(F.pmod(F.xxhash64("i", F.length("t"), F.lit(91)), F.lit(1_000_003)) < rate * 1_000_003)
+    rows = rows.withColumn("h", F.pmod(F.xxhash64("i", F.length("t"), F.lit(91)), F.lit(1_000_003)))
+    counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("rows"), F.min("h").alias("least")).toArrow()
+    share = max(MIN_ROWS, max_rows // max(counts.num_rows, 1))
+    bound = [max(low + 1.0, min(1.0, share / n) * 1_000_003) for n, low in zip(counts.column("rows").to_pylist(), counts.column("least").to_pylist(), strict=True)]
+    bounds = docs.sparkSession.createDataFrame(pa.table({"l": counts.column("l").cast(pa.string()), "bound": pa.array(bound, pa.float64())}))
+    drawn = rows.join(F.broadcast(bounds), "l").where("h < bound")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -110,13 +157,13 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     # the driver gets at most 2 ** GRAM_BITS counts a language, never the texts
     summed = drawn.select("l", "t").mapInArrow(count, "l string, gram int, n bigint").groupBy("l", "gram").agg(F.sum("n").alias("n")).toArrow()
-    names, gram, n = summed.column("l").to_numpy(), summed.column("gram").to_numpy(), summed.column("n").to_numpy()
-    languages = sorted(set(names))
-    seen = {x: np.bincount(gram[names == x], weights=n[names == x], minlength=1 << GRAM_BITS) for x in languages}
-    if not languages:
-        return Model([], np.zeros((1 << GRAM_BITS, 0), np.float32))
-    counted = np.column_stack([seen[x] for x in languages]) + 0.02
-    return Model(languages, np.log(counted / counted.sum(0)).astype(np.float32))
+    return model_of(summed.column("l").cast(pa.string()).combine_chunks(), summed.column("gram").to_numpy(), summed.column("n").to_numpy())
+
+
+def _slices(group: np.ndarray) -> list[tuple[int, int]]:
+    """Texts of one group together."""
+    cuts = (np.flatnonzero(np.diff(group)) + 1).tolist()
+    return list(zip([0, *cuts], [*cuts, len(group)], strict=True))
 
 
 class Scorer:
@@ -124,6 +171,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
+        self.weights = model.table() if len(model.languages) <= TABLE_LANGUAGES else None
 
     def __call__(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
         langs = self.model.languages
@@ -139,12 +187,16 @@ class Scorer:
         unit_words = np.where(words < LONG_WORDS, 1, UNIT_WORDS)[doc]
         begins = place % unit_words == 0
         cut = np.flatnonzero(begins)
-        logs = np.add.reduceat(self.model.weights[gram], starts[cut], axis=0)
+        units = np.bincount(doc[cut], minlength=len(texts))
+        group = np.cumsum(units) * len(langs) // CELLS
+        if group[-1] > group[0] and len(texts) > 1:
+            parts = [self(texts[a:b]) for a, b in _slices(group)]
+            return [p for part in parts for p in part[0]], np.concatenate([part[1] for part in parts])
+        logs = self.model.summed(gram, starts[cut]) if self.weights is None else np.add.reduceat(self.weights[gram], starts[cut], axis=0)
         # the trigrams of a unit overlap, so their product is too sure of itself by about this much
         logs = (logs - logs.max(1, keepdims=True)) / OVERLAP
         like = np.exp(np.maximum(logs, -60))
         n = np.diff(np.append(cut, len(doc))).astype(np.float32)
-        units = np.bincount(doc[cut], minlength=len(texts))
         which = np.flatnonzero(units)
         shares = mixture(like, n, units[which], len(langs))
         top = shares.argmax(1)

@@ -307,6 +307,26 @@ def test_models_on_held_out_rows(spark):
     assert np.mean([x > y for x in bad for y in good]) > 0.7 and np.mean([y < 0.3 for y in good]) > 0.95
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = random.Random(21)
+    free = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    words = {f"l{k:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)] for k in range(260)}
+    rows = []
+    for k, lang in enumerate(words):
+        for _ in range(1 if k % 7 == 0 else 3):
+            rows.append((free[len(rows)], " ".join(rng.choice(words[lang]) for _ in range(40)), lang, "a"))
+    model = language.learn(docs_of(spark, rows).repartition(4))
+    assert model.languages == sorted(words)
+    texts, want = [t.encode() for _, t, _, _ in rows], [lang for _, _, lang, _ in rows]
+    pred, score = language.Scorer(model)(texts)
+    assert np.mean([a == b for a, b in zip(pred, want, strict=True)]) > 0.99
+    monkeypatch.setattr(language, "CELLS", 20_000)  # in many slices
+    again = language.Scorer(model)(texts)
+    monkeypatch.setattr(language, "TABLE_LANGUAGES", 10_000)  # by the full table
+    full = language.Scorer(model)(texts)
+    assert again[0] == pred == full[0] and np.allclose(again[1], score, atol=1e-3) and np.allclose(full[1], score, atol=1e-3)
+
+
 @pytest.mark.parametrize("task_links", [40, 2_000_000])
 def test_components_over_few_and_many_partitions(spark, monkeypatch, task_links):
     from tenure.llm import components
