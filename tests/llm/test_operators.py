@@ -73,6 +73,22 @@ def test_vectors_match_brute_force(spark):
     assert all(got[k]["component_id"] <= k and got[k]["kept"] == (got[k]["component_id"] == k) for k in got)
 
 
+def test_vectors_of_a_dense_group_match_brute_force():
+    rng = np.random.default_rng(1)
+    points = rng.standard_normal((20_000, 64))
+    centre = rng.standard_normal(64)
+    points[:6_666] = centre / np.linalg.norm(centre) + rng.standard_normal((6_666, 64)) / 8 * np.sqrt(1 / 0.945 - 1)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    sigma = float(np.sqrt((2 - 2 * vector_forest.SIMILARITY) / 64))
+    forest = vector_forest.Forest(points, vector_forest.TREES, vector_forest.LEAF, vector_forest.SPILL * sigma, vector_forest.SEED, sigma)
+    row, leaf = forest.route(points)
+    shared = np.split(leaf[np.argsort(row, kind="stable")], np.cumsum(np.bincount(row))[:-1])
+    pairs = [(i, j) for i in range(0, 6_666, 33) for j in np.flatnonzero(points @ points[i] >= vector_forest.SIMILARITY) if i != j]
+    kept = [np.isin(shared[i], shared[j]).any() for i, j in pairs[::20]]
+    assert len(kept) > 3_000 and np.mean(kept) > 0.998
+    assert forest.leaves > 1_000  # the others are still parted
+
+
 def near_brute(rows):
     sets = {}
     for i, t in rows:
