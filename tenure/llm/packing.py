@@ -196,14 +196,16 @@ def _pack_shard(part: pd.DataFrame, capacity: int) -> pd.DataFrame:
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """The rows of ``pieces`` with sequence_id and offset. Lengths are 1 to ``capacity``."""
-    cut = materialize(cut.select("doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
+    # the salt is written with the pieces, so a task run again deals its rows alike; it spreads rows that repeat
+    salted = cut.select("doc_id", "piece", "start", "length", "ids_crc32", F.monotonically_increasing_id().alias("salt"))
+    cut = materialize(salted, "pieces")
     shards = max(1, -(-cut.count() // shard_pieces))
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards))
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.lit(shards))
 
     def fill(part: pd.DataFrame) -> pd.DataFrame:
         return _pack_shard(part, capacity)
 
-    return cut.withColumn("shard", shard).groupBy("shard").applyInPandas(fill, PLACED)
+    return cut.withColumn("shard", shard).drop("salt").groupBy("shard").applyInPandas(fill, PLACED)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

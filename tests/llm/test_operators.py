@@ -172,6 +172,13 @@ def test_packing_round_trip_and_tightness(spark):
     assert max(map(len, packed.values())) <= 2048 and len(packed) <= least + 2
 
 
+def test_repeated_pieces_are_dealt_to_all_shards(spark):
+    cut = spark.range(4000).selectExpr("cast(null as bigint) doc_id", "0 piece", "0L start", "1 length", "7L ids_crc32")
+    placed = packing.pack(cut, shard_pieces=500).collect()
+    shards = collections.Counter(r["sequence_id"] >> 24 for r in placed)
+    assert len(placed) == 4000 and len(shards) == 8 and max(shards.values()) < 800
+
+
 def test_best_two_fit_replaces_the_smallest():
     bins = packing.best_two_fit(np.array([60, 30, 22, 17, 5]), 100)
     assert sorted(x for b in bins for x in b) == [5, 17, 22, 30, 60] and all(sum(b) <= 100 for b in bins)
