@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language, line_dedup, lsh_forest, mixing, packing, pii, repetition, secrets, toxicity, vector_forest
+from . import bit_whitening, cross_polytope, filter_audit, language, line_dedup, lsh_forest, mixing, packing, pii, repetition, secrets, toxicity, vector_forest
 from .common import table
 
 #: The folder of tokenizer files is a setting of the session; unset, the installed public files are used.
@@ -69,6 +70,19 @@ def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return cross_polytope.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op12_filter_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_bit_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,10 +92,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     every = (
         op1_feistel_pseudonyms, op2_repetition_coverage, op3_projection_forest, op4_secret_ownership, op5_toxic_spans,
-        op6_best_two_fit, op7_cube_mix, op8_winnowed_lines, op9_language_mixture, op10_lsh_forest, pipeline,
+        op6_best_two_fit, op7_cube_mix, op8_winnowed_lines, op9_language_mixture, op10_lsh_forest, op11_cross_polytope, op12_filter_shapley,
+        op13_bit_whitening, pipeline,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_filter_shapley": filter_audit.ORACLE}
