@@ -7,9 +7,11 @@ Two shapes occur in the source job and queries:
 
 The first is an aggregate here (``min_by`` / ``max_by`` over a sort key): every
 map task collapses its rows to one per group before the shuffle, so a group
-holding a third of all rows costs the same as any other. (Spark plans it as a
-sort-based aggregate, since the buffer holds a struct; the partial step still
-runs before the exchange.)
+holding a third of all rows costs the same as any other. Where the order and the
+columns to carry are dates, timestamps and whole numbers, both are packed into
+single numbers (``tenure.operators.packing``), so Spark hashes; text has to be
+carried in a struct, and Spark sorts instead. Either way the partial step runs
+before the exchange.
 
 The second needs every row of a group in order. Groups of ordinary size use a
 plain window partitioned by the key. Groups above ``tenure.hotGroupRows`` rows
@@ -27,6 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenure.operators.packing import packing_of
 from tenure.session import (
     HOT_GROUP_ROWS,
     HOT_GROUP_ROWS_DEFAULT,
@@ -89,6 +92,10 @@ def first_per_group(
     """
     carry = carry if carry is not None else [c for c in df.columns if c not in keys]
     pick = F.max_by if descending else F.min_by
+    rank, load = packing_of(df, order, nulls_least=descending), packing_of(df, carry)
+    if rank is not None and load is not None:
+        packed = df.select(*keys, rank.pack().alias("_rank"), load.pack().alias("_load"))
+        return packed.groupBy(*keys).agg(pick("_load", "_rank").alias("_load")).select(*keys, *load.unpack(F.col("_load")))
     top = pick(F.struct(*[F.col(c) for c in carry]), sort_key(order, descending))
     return df.groupBy(*keys).agg(top.alias("_top")).select(*keys, *[F.col(f"_top.{c}").alias(c) for c in carry])
 

@@ -27,7 +27,7 @@ from tenure.schemas import DIM_EMPLOYEE_TABLE, FACT_TABLE, KEY
 from tenure.session import scratch_scope
 from tenure.sinks.audit import Audit
 from tenure.sinks.export import export_csv
-from tenure.sinks.replace import Written, new_run_id, replace_table
+from tenure.sinks.replace import Written, new_run_id, replace_table, verify_landed
 
 # Fixed value: the name of the exported wide history, as users of the job expect it.
 HISTORY_CSV = "historical_training_data"
@@ -51,14 +51,21 @@ def load_dim_employee(
     run_id: str | None = None,
     table: str = DIM_EMPLOYEE_TABLE,
     buckets: int | None = None,
+    pointer: bool = False,
+    verify: bool = False,
 ) -> Written:
     """Replace the employee dimension with the current extract.
 
     ``buckets`` stores it bucketed by ``EmployeeId``, so queries joining it to
-    a history bucketed alike run without a shuffle.
+    a history bucketed alike run without a shuffle. ``pointer=True`` serves it
+    through a view, so readers never miss it, whatever changes. ``verify=True``
+    reads the landed rows back and raises unless they are those that were written.
     """
     bucket_by = (buckets, [KEY]) if buckets else None
-    return replace_table(dim_employee(employee, as_text=as_text), table, root, run_id=run_id, bucket_by=bucket_by)
+    dim = dim_employee(employee, as_text=as_text)
+    # landed first, served only once it is verified
+    written = replace_table(dim, table, root, run_id=run_id, bucket_by=bucket_by, pointer=pointer, digest=verify, check=verify_landed if verify else None)
+    return written
 
 
 def run_etl(
@@ -77,6 +84,8 @@ def run_etl(
     validate: bool = False,
     strict: bool = False,
     land_history: bool = False,
+    pointer: bool = False,
+    verify: bool = False,
 ) -> EtlRun:
     """Run the whole job once. ``root`` is the shared warehouse folder.
 
@@ -95,6 +104,10 @@ def run_etl(
     ``RawPositionHistory`` (bucketed by key when ``buckets`` is given) and runs
     the later steps from it: a sheet-backed CSV source is then parsed once
     instead of once per step, and the lineage is cut.
+    ``pointer=True`` serves all tables through views that are switched in one
+    step, so a reader never finds one missing, also when layouts change.
+    ``verify=True`` reads every landed table back before it is served and fails
+    the step unless it holds exactly the rows that were written.
     """
     spark = employee.sparkSession
     run_id = run_id or new_run_id()
@@ -102,12 +115,13 @@ def run_etl(
     prefix = f"{database}." if database else ""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    safely = {"pointer": pointer, "digest": verify, "check": verify_landed if verify else None}
 
     if land_history:
         with audit.step("land_position_history") as step:
             landed = replace_table(
                 history, prefix + RAW_HISTORY_TABLE, root, run_id=run_id,
-                bucket_by=(buckets, [KEY]) if buckets else None,
+                bucket_by=(buckets, [KEY]) if buckets else None, **safely,
             )
             step.rows = landed.rows
         history = spark.table(prefix + RAW_HISTORY_TABLE)
@@ -124,7 +138,8 @@ def run_etl(
     def dim_step() -> Written:
         with audit.step("load_dim_employee") as step:
             dim = load_dim_employee(
-                employee, root, as_text=as_text, run_id=run_id, table=prefix + DIM_EMPLOYEE_TABLE, buckets=buckets
+                employee, root, as_text=as_text, run_id=run_id, table=prefix + DIM_EMPLOYEE_TABLE, buckets=buckets,
+                pointer=pointer, verify=verify,
             )
             step.rows = dim.rows
         return dim
@@ -149,7 +164,7 @@ def run_etl(
         if as_text:
             fact_df = stringify(fact_df)
         fact_buckets = (buckets, ["Id_Employee"]) if buckets else None
-        fact = replace_table(fact_df, prefix + FACT_TABLE, root, run_id=run_id, bucket_by=fact_buckets)
+        fact = replace_table(fact_df, prefix + FACT_TABLE, root, run_id=run_id, bucket_by=fact_buckets, **safely)
         step.rows = fact.rows
 
     return EtlRun(run_id, dim, csv, fact, audit)
@@ -190,6 +205,8 @@ def main(argv: list[str] | None = None) -> EtlRun:
     p.add_argument("--validate", action="store_true", help="check the declared constraints of both inputs first")
     p.add_argument("--strict", action="store_true", help="with --validate: stop on repeated or null keys")
     p.add_argument("--land-history", action="store_true", help="write the history as parquet once, then use it")
+    p.add_argument("--pointer", action="store_true", help="serve the tables through views switched in one step")
+    p.add_argument("--verify", action="store_true", help="read landed tables back and compare them with what was written")
     args = p.parse_args(argv)
 
     spark = build_session(app_name="tenure-job")
@@ -205,6 +222,7 @@ def main(argv: list[str] | None = None) -> EtlRun:
         employee, history, args.root, key_mode=args.key_mode, as_text=args.as_text, golden=args.golden,
         database=args.database, buckets=args.buckets, csv_index=not args.no_csv_index,
         validate=args.validate, strict=args.strict, land_history=args.land_history,
+        pointer=args.pointer, verify=args.verify,
     )
     print(f"run {run.run_id}: dimension {run.dim.rows} rows, history CSV {run.history_csv.rows} rows, "
           f"fact {run.fact.rows} rows")

@@ -45,9 +45,10 @@ def _position_columns(hist: DataFrame) -> list[str]:
     return [*present(POSITION_ATTRS, hist.columns), "PhEmployeeId", *PERIOD]
 
 
-def _history_for_lookup(hist: DataFrame, key_mode: str) -> DataFrame:
+def _history_for_lookup(hist: DataFrame, key_mode: str, extra: list[str] | None = None) -> DataFrame:
     """History with the key kept as ``PhEmployeeId`` and null keys dropped."""
     h = hist.select(
+        *(extra or []),
         F.col("Id").alias("_hid"),
         *present(POSITION_ATTRS, hist.columns),
         F.col(KEY).alias("PhEmployeeId"),
@@ -70,10 +71,19 @@ def current_position(
     listed, as in the source query, whose filter on right-side columns turns
     its left join into an inner one. ``as_of=None`` means today.
     """
+    return positions_held(emp, valid_at(hist, as_of), key_mode=key_mode)
+
+
+def positions_held(emp: DataFrame, held: DataFrame, *, key_mode: str = EXACT, extra: list[str] | None = None) -> DataFrame:
+    """Employees with the history rows ``held`` by them, found by whichever lookup.
+
+    ``extra`` names columns of ``held`` to put first (the day that was asked for, say).
+    """
+    extra = list(extra or [])
     e_attrs = present(EMPLOYEE_ATTRS, emp.columns)
     e = with_join_key(emp.select(*e_attrs), KEY, key_mode)
-    h = _history_for_lookup(valid_at(hist, as_of), key_mode)
-    return e.join(h, K, "inner").select(*e_attrs, *_position_columns(hist))
+    h = _history_for_lookup(held, key_mode, extra)
+    return e.join(h, K, "inner").select(*extra, *e_attrs, *_position_columns(held))
 
 
 def latest_per_employee(hist: DataFrame, key_mode: str = EXACT) -> DataFrame:

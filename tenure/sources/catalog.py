@@ -8,7 +8,7 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.sinks.replace import replace_table
+from tenure.sinks.replace import replace_table, verify_landed
 
 
 def tables_named(spark: SparkSession, names: Iterable[str], database: str | None = None) -> list[str]:
@@ -33,10 +33,11 @@ def copy_tables(
 ) -> DataFrame:
     """Copy each named table to ``<root>/<prefix><name>`` with a staged full replace.
 
-    Each table is one Spark job (read, write). The rows counted during the
-    write must equal the rows of the landed copy, else this raises. Returns
-    ``(table_name, target, rows_copied, running_total)``, totalled in the order
-    of ``names``.
+    Each table is one Spark job (read, write), which also observes the rows'
+    count and an order-free digest of their content. Both are taken again from
+    the landed copy and must be equal, else this raises: a lost, repeated or
+    altered row fails the copy. Returns ``(table_name, target, rows_copied,
+    running_total, digest)``, totalled in the order of ``names``.
     The list is of table names; the copy never iterates over cell values.
     ``bucket_by`` maps a table name to ``(buckets, columns)`` for copies that
     later queries join on those columns. Up to ``parallel`` copies run as
@@ -46,17 +47,14 @@ def copy_tables(
     if not names:
         raise ValueError("no tables to copy")
 
-    def one(name: str) -> tuple[str, str, int]:
+    def one(name: str) -> tuple[str, str, int, str]:
         target = f"{prefix}{name}"
         spec = (bucket_by or {}).get(name)
-        written = replace_table(read(name), target, root, run_id=run_id, bucket_by=spec)
-        landed = written.path_frame(spark).count()
-        if landed != written.rows:
-            raise ValueError(f"{target}: {written.rows} rows written, {landed} landed")
-        return name, target, written.rows
+        written = replace_table(read(name), target, root, run_id=run_id, bucket_by=spec, digest=True, check=verify_landed)
+        return name, target, written.rows, written.digest
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(names)))) as pool:
         copies = list(pool.map(one, names))  # results in the order of names; errors re-raised
-    totals = accumulate(rows for *_, rows in copies)
-    report = [(*copy, total) for copy, total in zip(copies, totals, strict=True)]
-    return spark.createDataFrame(report, "table_name string, target string, rows_copied bigint, running_total bigint")
+    totals = accumulate(rows for *_, rows, _ in copies)
+    report = [(name, target, rows, total, digest) for (name, target, rows, digest), total in zip(copies, totals, strict=True)]
+    return spark.createDataFrame(report, "table_name string, target string, rows_copied bigint, running_total bigint, digest string")
