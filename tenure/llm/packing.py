@@ -11,11 +11,14 @@ the widened gap more tightly.
 
 Token ids come from the tokenizer file ``tokenizer``. White space splits text
 before its byte-pair merges, so each blank-separated word is tokenised once and
-remembered; the ids are those of the whole text.
+remembered; the ids are those of the whole text. Texts are split, numbered and
+put together again as whole columns, never word by word.
 
 Defined results: null text is empty; an empty text is its end id alone, one
-piece of length 1; repeated rows are packed as rows of their own, with equal
-digests; extra columns are not read; an empty table gives an empty table.
+piece of length 1; ids may be of any type and null; repeated rows are packed as
+rows of their own, with equal digests; pieces of one length are dealt in the
+order of id, piece and digest; extra columns are not read; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -28,63 +31,126 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenure.session import materialize
 
-from .common import as_binary, chunks, utf8
+from .common import as_binary, chunks
 
 CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 100_000
 CACHE_WORDS = 700_000
+JOINED = 200  # words of letters that are tokenised as one text
+WORD_END = "</w>"
 
 
-class WordIds(dict):
-    """Ids of blank-separated words as little-endian bytes, made for many words at a time."""
+class WordIds:
+    """Ids of blank-separated words, each word tokenised once and numbered.
+
+    A word of letters alone is one pre-token, and the last of its ids ends a
+    word; so many of them are tokenised as one text, joined by blanks, and the
+    ids are cut after those that end a word. Other words are tokenised alone.
+    """
 
     def __init__(self, tokenizer: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task on each core already
         from tokenizers import Tokenizer
 
-        super().__init__()
         own = Tokenizer.from_file(tokenizer)
         self.encode = getattr(own, "encode_batch_fast", own.encode_batch)
-
-    def add(self, texts: list[list[bytes]]) -> None:
-        """Make the ids of all words of the texts that are not known yet."""
-        if len(self) > CACHE_WORDS:
+        vocabulary = own.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, "<u4"), 0
+        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+
+    def _keep(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        n, m = len(self.number), len(words)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        while n + m > len(self.start):
+            self.start, self.length = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.length))
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.start[n : n + m] = self.used + np.cumsum(sizes) - sizes
+        self.length[n : n + m] = sizes
+        self.used += len(flat)
+        self.number.update(zip(words, range(n, n + m), strict=True))
+
+    def _alone(self, words: list[str]) -> None:
+        coded = [c.ids for c in self.encode(words, add_special_tokens=False)]
+        self._keep(words, np.fromiter(chain.from_iterable(coded), "<u4"), np.array([len(c) for c in coded], np.int64))
+
+    def add(self, words: list[str]) -> None:
+        letters = [w for w in words if w.isalpha()]
+        joined = [letters[k : k + JOINED] for k in range(0, len(letters), JOINED)]
+        for part, coded in zip(joined, self.encode([" ".join(p) for p in joined], add_special_tokens=False), strict=True):
+            flat = np.array(coded.ids, "<u4")
+            last = np.flatnonzero(self.ends[flat])
+            if len(last) == len(part) and last[-1] == len(flat) - 1:
+                self._keep(part, flat, np.diff(last, prepend=-1))
+            else:  # a word that the tokenizer takes apart after all
+                self._alone(part)
+        others = [w for w in words if not w.isalpha()]
+        if others:
+            self._alone(others)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The words' numbers; new ones are tokenised first."""
+        if len(self.number) > CACHE_WORDS:
             self.clear()
-        new = set(chain.from_iterable(texts)).difference(self)
-        parts = {word: plain(word) for word in new}
-        bare = list({x for some in parts.values() for x in some}.difference(self))
-        coded = self.encode([x.decode("utf-8", "replace") for x in bare], add_special_tokens=False)
-        self.update((x, np.array(c.ids, "<u4").tobytes()) for x, c in zip(bare, coded, strict=True))
-        self.update((word, b"".join(map(self.__getitem__, some))) for word, some in parts.items() if some != (word,))
+        self.add([w for w in dict.fromkeys(words) if w not in self.number])
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
 
-def plain(word: bytes) -> tuple[bytes, ...]:
-    """Parts of a word that are tokenised alone with the same ids: A-Z lower-cased, a last full stop or comma apart.
+def _plain(texts: pa.Array) -> pa.Array:
+    """Texts with the same ids and fewer different words: A-Z lower-cased, a last full stop or comma apart.
 
     The tokenizer lower-cases and cuts between letters and other characters
-    itself; fewer different parts are to be tokenised. Words that might hold a
-    special token's name stay as they are.
+    itself. Texts that might hold a special token's name stay as they are.
     """
-    if b"<|" in word:
-        return (word,)
-    word = word.lower()
-    if word[-1:] in (b".", b",") and len(word) > 1 and 97 <= word[-2] <= 122:
-        return word[:-1], word[-1:]
-    return (word,)
+    lower = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([.,])([\x20\x09-\x0D]|$)", r"\1 \2\3")
+    return pc.if_else(pc.match_substring(texts, "<|"), texts, lower)
+
+
+def token_ids(texts: pa.Array, known: WordIds, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' ids one after the other, each text's end id last, and where each text ends."""
+    lists = pc.ascii_split_whitespace(_plain(texts))
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    word = known.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
+    after = np.cumsum(sizes)
+    # the end id is a word of its own behind every text
+    length = np.insert(known.length[word], after, 1)
+    start = np.insert(known.start[word], after, -1)
+    stop = np.cumsum(length)
+    ids = known.ids[np.repeat(start - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)]
+    ends = stop[after + np.arange(len(after))]
+    ids[ends - 1] = end_id
+    return ids, ends
+
+
+def _texts(batch: pa.RecordBatch) -> pa.Array:
+    """A batch's texts; null is empty, bytes that are no UTF-8 are replaced."""
+    column = batch.column(batch.schema.get_field_index("text"))
+    try:
+        return pc.fill_null(column.cast(pa.string()), "")
+    except pa.ArrowInvalid:
+        return pa.array([(t or b"").decode("utf-8", "replace") for t in column.to_pylist()], pa.string())
 
 
-def token_bytes(words: list[bytes], known: WordIds, end_id: int = END_ID) -> bytes:
-    """The document's ids and its end id, four bytes each."""
-    return b"".join(map(known.__getitem__, words)) + end_id.to_bytes(4, "little")
+PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+def _with_id(df: DataFrame, id_col: str, columns: str) -> str:
+    """Columns behind the id, which keeps its own type."""
+    return f"doc_id {df.schema[id_col].dataType.simpleString()}, {columns}"
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -93,27 +159,24 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer)
         for batch in chunks(batches):
-            doc, part, start, length, crc, ids = [], [], [], [], [], []
-            split = [text.split() for text in utf8(batch)]
-            words.add(split)
-            for doc_id, own in zip(batch.column(0).to_pylist(), split, strict=True):
-                raw = token_bytes(own, words)
-                for k, a in enumerate(range(0, len(raw), 4 * capacity)):
-                    piece = raw[a : a + 4 * capacity]
-                    doc.append(doc_id)
-                    part.append(k)
-                    start.append(a // 4)
-                    length.append(len(piece) // 4)
-                    crc.append(zlib.crc32(piece))
-                    if with_ids:
-                        ids.append(np.frombuffer(piece, "<u4").astype(np.int32))
-            out = [pa.array(doc, pa.int64()), pa.array(part, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
+            flat, ends = token_ids(_texts(batch), words)
+            size = np.diff(ends, prepend=0)
+            n = -(-size // capacity)
+            row = np.repeat(np.arange(len(size)), n)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            start = piece * capacity
+            length = np.minimum(size[row] - start, capacity)
+            at = (ends - size)[row] + start
+            raw = memoryview(flat).cast("B")
+            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at.tolist(), (at + length).tolist(), strict=True)]
+            out = [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                out, names = [*out, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
+            if with_ids:  # the pieces follow one another without a gap
+                ids = pa.ListArray.from_arrays(pa.array(np.append(at, ends[-1:]).astype(np.int32)), pa.array(flat.astype(np.int32)))
+                out, names = [*out, ids], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(out, names=names)
 
-    return as_binary(docs, id_col, text=text_col).mapInArrow(cut, PIECES + (", ids array<int>" if with_ids else ""))
+    return as_binary(docs, id_col, text=text_col).mapInArrow(cut, _with_id(docs, id_col, PIECES + (", ids array<int>" if with_ids else "")))
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -205,7 +268,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIE
     def fill(part: pd.DataFrame) -> pd.DataFrame:
         return _pack_shard(part, capacity)
 
-    return cut.withColumn("shard", shard).drop("salt").groupBy("shard").applyInPandas(fill, PLACED)
+    return cut.withColumn("shard", shard).drop("salt").groupBy("shard").applyInPandas(fill, _with_id(cut, "doc_id", PLACED))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
