@@ -5,22 +5,26 @@ case form (the word, its beginnings of three to six letters, its last three);
 two states (clean, toxic) are chained by transition weights. The CRF is
 trained on labelled tokens by gradient steps on the exact likelihood, with
 forward-backward marginals. Token labels come from labelled documents: words
-and word beginnings far more frequent in toxic documents than chance allows
-are markers; tokens with a marker in toxic documents are labelled toxic, all
-others clean. A document's score is a logistic
-function, fitted on the same rows, of two things the marginals give: the
-expected number of toxic tokens and the probability that any token is toxic.
+and word beginnings that occur in far more different words of toxic documents
+than their rate in clean ones lets expect are markers; tokens with a marker in
+toxic documents are labelled toxic, all others clean. A document's score is a
+logistic function, fitted on the same rows, of two things the marginals give:
+the expected number of different toxic words and the probability that any
+token is toxic. Spans are the tokens more likely toxic than not, in documents
+whose score passes the threshold.
 
 Forward-backward runs in numpy over many documents at once: the tokens of a
 batch form one chain that restarts at each document, cut into blocks whose 2x2
 products are computed side by side. The result is the exact marginal.
 
-Training reads a bounded sample of labelled rows (``max_toxic``, ``max_clean``);
-scoring is a map over all documents and whole texts, without a shuffle.
+Training reads a bounded sample of labelled ids (``max_toxic``, ``max_clean``),
+one text of each; scoring is a map over all documents and whole texts, without
+a shuffle.
 
 Defined results: null, empty and letterless texts have no tokens and get the
 score of a document without toxic tokens; without labelled toxic rows every
-score is 0; repeated rows get one row each; other columns are never read.
+score is 0; ids may be of any type; of an id's several texts the least by hash
+is learned from; repeated rows get one row each; other columns are never read.
 """
 
 from __future__ import annotations
@@ -45,6 +49,7 @@ BLOCK = 128
 THRESHOLD = 0.3
 STEPS = 40
 CACHE_WORDS = 400_000
+FAINT = 0.02  # tokens less likely toxic than this are not counted as words
 
 TOKEN = re.compile(r"[^\W\d_]+")
 
@@ -148,23 +153,27 @@ def apart(docs: list[set[str]]) -> list[int]:
     return keep
 
 
-def find_markers(docs: list[set[str]], toxic: list[bool], clean_weight: float, sure: float = 5.0, precise: float = 0.6) -> frozenset:
+def find_markers(docs: list[set[str]], toxic: list[bool], clean_weight: float, sure: float = 14.0, precise: float = 0.6) -> frozenset:
     """Words and beginnings that mark toxic documents.
 
-    A feature is a marker if the toxic documents that have it exceed what
-    chance gives by ``sure`` standard deviations, and if at least ``precise``
-    of the documents that have it are toxic; each clean row of the sample
-    stands for ``clean_weight`` rows.
+    What counts is in how many different words of a document a feature occurs:
+    a stem that a toxic document uses with many endings is evidence even if few
+    such documents are known, a repeated line is not. A feature is a marker if
+    its words in toxic documents exceed what its rate in clean ones lets
+    expect by a log likelihood ratio of ``sure``, and if at least ``precise`` of all its
+    words are in toxic documents; each clean row of the sample stands for
+    ``clean_weight`` rows.
     """
-    bad, good = Counter(), Counter()
+    bad, good, n_bad, n_good = Counter(), Counter(), 0, 0.0
     for words, is_bad in zip(docs, toxic, strict=True):
-        (bad if is_bad else good).update({f for w in words for f in beginnings(w)})
-    n_bad = sum(toxic)
-    share = n_bad / (n_bad + clean_weight * (len(docs) - n_bad))
+        (bad if is_bad else good).update(f for w in words for f in beginnings(w))
+        n_bad += len(words) if is_bad else 0
+        n_good += 0.0 if is_bad else clean_weight * len(words)
     chosen = []
     for f, n in bad.items():
-        every = n + clean_weight * good[f]
-        if n >= precise * every and n - every * share >= sure * (every * share) ** 0.5:
+        clean = clean_weight * good[f]
+        expected = n_bad * (clean + 0.5) / max(n_good, 1.0)
+        if n > expected and n >= precise * (n + clean) and n * np.log(n / expected) - (n - expected) >= sure:
             chosen.append(f)
     return frozenset(chosen)
 
@@ -176,8 +185,9 @@ def _sample(docs, labels, id_col, text_col, label_id, label_col, max_toxic, max_
     bad, good = counts.get(1, 0), counts.get(0, 0)
     rate = F.when(F.col("y") == 1, min(1.0, max_toxic / max(bad, 1))).otherwise(min(1.0, max_clean / max(good, 1)))
     drawn = marks.where(F.pmod(F.xxhash64("i", F.lit(17)), F.lit(1_000_003)) < rate * 1_000_003)
-    # `drawn` is bounded by max_toxic + max_clean rows, so it is sent to the texts and not the other way round
-    got = rows.join(F.broadcast(drawn), "i").select("i", "y", "t").orderBy("i").toArrow()
+    # `drawn` is bounded by max_toxic + max_clean rows, so it is sent to the texts and not the other way round;
+    # one text of each id comes back, however often the id is repeated
+    got = rows.join(F.broadcast(drawn), "i").groupBy("i").agg(F.max("y").alias("y"), F.min_by("t", F.xxhash64("t")).alias("t")).orderBy("i").toArrow()
     texts, y = got.column("t").to_pylist(), got.column("y").to_pylist()
     return texts, [v == 1 for v in y], max(1.0, good / max_clean)
 
@@ -194,8 +204,8 @@ def learn(
 ) -> Model:
     """Train on about ``max_toxic`` + ``max_clean`` labelled rows, none held out.
 
-    The bound is on labelled rows, drawn by a hash of the id; their texts are
-    read whole. An id labelled twice counts as toxic if either label says so.
+    The bound is on labelled ids, drawn by a hash; one text of each is read,
+    whole. An id labelled twice counts as toxic if either label says so.
     """
     texts, toxic, weight = _sample(docs, labels, id_col, text_col, label_id, label_col, max_toxic, max_clean)
     one: dict[str, str] = {}  # each word once in memory
@@ -253,13 +263,23 @@ def _train(word, feats, y, first) -> Model:
     return model
 
 
-def _gather(toxic, clean, sizes):
-    """Document measures: log of one plus the expected toxic tokens, logit of any toxic token."""
+def _gather(toxic, clean, sizes, word):
+    """Document measures: log of one plus the expected number of different toxic words, logit of any toxic token.
+
+    ``word`` numbers each token's word; of a word repeated in a document the likeliest place counts.
+    """
     many, none = np.zeros(len(sizes)), np.zeros(len(sizes))
     full = sizes > 0
     at = (np.cumsum(sizes) - sizes)[full]
     if len(toxic):
-        many[full], none[full] = np.add.reduceat(toxic, at), np.add.reduceat(clean, at)
+        none[full] = np.add.reduceat(clean, at)
+        some = np.flatnonzero(toxic >= FAINT)
+        doc = np.searchsorted(at, some, side="right") - 1
+        order = np.lexsort((-toxic[some], word[some], doc))
+        doc, kind, weight = doc[order], word[some][order], toxic[some][order]
+        new = np.ones(len(order), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (kind[1:] != kind[:-1])
+        many[full] = np.bincount(doc[new], weights=weight[new], minlength=len(at))
     some = -np.expm1(np.minimum(none, 0))
     return np.log1p(many), np.clip(np.log(np.maximum(some, 1e-9)) - none, -12, 12)
 
@@ -267,7 +287,7 @@ def _gather(toxic, clean, sizes):
 def _fit_score(model, word, feats, first, sizes, y, clean_weight):
     emit = (model.weights[feats].sum(1) + model.bias)[word]
     toxic, clean, _, _ = forward_backward(emit, first, model.trans, model.start)
-    X = np.column_stack((np.ones(len(sizes)), *_gather(toxic, clean, sizes)))
+    X = np.column_stack((np.ones(len(sizes)), *_gather(toxic, clean, sizes, word)))
     w = np.where(y > 0, 1.0, clean_weight)
     beta = np.array([-2.0, 1.0, 0.5])
 
@@ -299,16 +319,18 @@ class Scorer:
         v = self.cache[word] = float(self.model.weights[features(word.lower())].sum() + self.model.bias)
         return v
 
-    def __call__(self, texts: list[bytes], spans: bool = False):
+    def __call__(self, texts: list[bytes], spans: bool = False, threshold: float = THRESHOLD):
         if len(self.cache) > CACHE_WORDS:
             self.cache = {}
         get, weigh = self.cache.get, self.weigh
+        flat: list[str] = []
         decoded = [t.decode("utf-8", "replace") for t in texts]
         emit: list[float] = []
         sizes = np.zeros(len(texts), np.int64)
         for k, text in enumerate(decoded):
             words = TOKEN.findall(text)
             sizes[k] = len(words)
+            flat += words
             for w in words:
                 e = get(w)
                 emit.append(weigh(w) if e is None else e)
@@ -319,12 +341,16 @@ class Scorer:
             toxic, clean, _, _ = forward_backward(np.array(emit), first, m.trans, m.start)
         else:
             toxic = clean = np.zeros(0)
-        many, some = _gather(toxic, clean, sizes)
+        number = np.zeros(len(flat), np.int64)
+        seen: dict[str, int] = {}
+        for k in np.flatnonzero(toxic >= FAINT).tolist():
+            number[k] = seen.setdefault(flat[k].lower(), len(seen))
+        many, some = _gather(toxic, clean, sizes, number)
         score = 1 / (1 + np.exp(-np.clip(m.logit[0] + m.logit[1] * many + m.logit[2] * some, -30, 30)))
         found = [[] for _ in texts]
         if spans and len(toxic):
             at = np.cumsum(sizes) - sizes
-            hot = toxic >= 0.5
+            hot = (toxic >= 0.5) & np.repeat(score >= threshold, sizes)
             for k in np.unique(np.searchsorted(at, np.flatnonzero(hot), side="right") - 1):
                 while sizes[k] == 0:
                     k -= 1
@@ -338,7 +364,7 @@ class Scorer:
         return score, found
 
 
-SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int, spans array<struct<start:int,end:int>>"
+SCHEMA = "held_out boolean, score double, predicted int, spans array<struct<start:int,end:int>>"
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -348,11 +374,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in chunks(batches):
-            score, spans = scorer(utf8(batch), spans=True)
+            score, spans = scorer(utf8(batch), spans=True, threshold=threshold)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(spans, span)],
                 names=["doc_id", "held_out", "score", "predicted", "spans"],
             )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    return as_binary(rows, "doc_id", "held_out").mapInArrow(run, SCHEMA)
+    return as_binary(rows, "doc_id", "held_out").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SCHEMA}")

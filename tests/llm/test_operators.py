@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tenure.llm import language, line_dedup, lsh_forest, mixing, packing, pii, repetition, secrets, toxicity, vector_forest
 from tenure.llm.queries import tokenizer_path
@@ -172,6 +173,30 @@ def test_packing_round_trip_and_tightness(spark):
     assert max(map(len, packed.values())) <= 2048 and len(packed) <= least + 2
 
 
+def test_ids_of_many_words_at_once_are_the_tokenizers(spark):
+    """Odd texts, alone and many in a batch, in any order: the ids of the whole text and the end id."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rng, path = random.Random(8), tokenizer_path(spark)
+    odd = ["", " a\x0bB  c.\n", "<|startoftext|> X.Y, Abc.", "x<|ENDOFTEXT|>y ", "I'm it's don't, 'S", "ﬁﬃ Straße ÉÉ. 한국어 中文字 日本, ㄱㅏ", "a\u00a0b \u0085 c\u200bd", "e\u0301 é",
+           "ǅ ŉ İ i̇", "٣٤ ²³ x²", "🙂🙂 a🙂.", "...", "a.b., c,. d.,", "\x00a\x00", "ªº ᵃ ʰ", "word " * 300_000]
+    odd += ["".join(rng.choice("abAB.,'<|> \t\néß1٣-") for _ in range(60)) for _ in range(200)] + [prose(rng, 300) for _ in range(20)]
+    encode = Tokenizer.from_file(path).encode
+    want = [[*encode(t, add_special_tokens=False).ids, packing.END_ID] for t in odd]
+    known = packing.WordIds(path)
+    for order in (list(range(len(odd))), rng.sample(range(len(odd)), len(odd)), [0], []):
+        ids, ends = packing.token_ids(pa.array([odd[k] for k in order], pa.string()), known)
+        assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [want[k] for k in order]
+
+
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_pieces_keep_ids_of_any_type(spark, kind):
+    docs = docs_of(spark, [(5, "a b", None, None), (None, "c", None, None)]).selectExpr(f"cast(doc_id as {kind}) doc_id", "text")
+    placed = packing.pack_documents(docs, tokenizer_path(spark))
+    assert dict(placed.dtypes)["doc_id"] == kind and {str(r["doc_id"]) for r in placed.collect()} == {"5", "None"}
+
+
 def test_repeated_pieces_are_dealt_to_all_shards(spark):
     cut = spark.range(4000).selectExpr("cast(null as bigint) doc_id", "0 piece", "0L start", "1 length", "7L ids_crc32")
     placed = packing.pack(cut, shard_pieces=500).collect()
@@ -330,6 +355,101 @@ def test_models_on_held_out_rows(spark):
     assert np.mean([x > y for x in bad for y in good]) > 0.7 and np.mean([y < 0.3 for y in good]) > 0.95
 
 
+def plain_scores(model, text):
+    """Score and spans of one document by the definition, state by state."""
+    at = list(toxicity.TOKEN.finditer(text))
+    emit = [np.clip(model.weights[toxicity.features(t.group().lower())].sum() + model.bias, -30, 30) for t in at]
+    n = len(at)
+    if not n:
+        some, many, hot = 0.0, 0.0, []
+    else:
+        f, b = np.zeros((n, 2)), np.ones((n, 2))
+        for k in range(n):
+            step = np.exp(model.start) if k == 0 else f[k - 1] @ np.exp(model.trans)
+            f[k] = step * np.exp([0, emit[k]])
+            f[k] /= f[k].sum()
+        for k in range(n - 2, -1, -1):
+            b[k] = np.exp(model.trans) @ (np.exp([0, emit[k + 1]]) * b[k + 1])
+            b[k] /= b[k].sum()
+        hot = (f * b)[:, 1] / (f * b).sum(1)
+        clean, best = 0.0, {}
+        for k, t in enumerate(at):
+            w = (np.exp(model.start) if k == 0 else np.exp(model.trans)[0]) * np.exp([0, emit[k]]) * b[k]
+            clean += np.log(w[0] / w.sum())
+            if hot[k] >= toxicity.FAINT:
+                best[t.group().lower()] = max(hot[k], best.get(t.group().lower(), 0))
+        some, many = -np.expm1(min(clean, 0)), sum(best.values())
+        some = np.clip(np.log(max(some, 1e-9)) - clean, -12, 12)
+    if not n:
+        some = np.clip(np.log(1e-9), -12, 12)
+    score = 1 / (1 + np.exp(-(model.logit @ [1, np.log1p(many), some])))
+    spans = []
+    for k, t in enumerate(at):
+        if score >= toxicity.THRESHOLD and hot[k] >= 0.5:
+            if spans and k and hot[k - 1] >= 0.5:
+                spans[-1]["end"] = t.end()
+            else:
+                spans.append({"start": t.start(), "end": t.end()})
+    return score, spans
+
+
+def test_scores_and_spans_of_whole_documents_match_plain_loops():
+    rng = random.Random(4)
+    texts, marks = [], []
+    for k in range(120):
+        words = prose(rng, rng.choice([5, 40, 300])).split()
+        marks.append(k % 4 == 0)
+        for _ in range(rng.randint(2, 6) if k % 4 == 0 else 0):  # one stem with many endings, one whole word
+            words.insert(rng.randrange(len(words)), rng.choice(["zorvak" + rng.choice("abcdefghij") + rng.choice("abcdefghij"), "Grumpf"]))
+        texts.append(" ".join(words))
+    model = toxicity.Model()
+    one, real = toxicity._sample, (texts, marks, 2.0)
+    toxicity._sample = lambda *a: real
+    try:
+        model = toxicity.learn(None, None)
+    finally:
+        toxicity._sample = one
+    assert {"zorv", "=grumpf"} <= model.markers
+    texts += ["", "12 !", "Zorvakqq", "zorvakxx zorvakyy grumpf. GRUMPF", "a " * 5000 + "zorvakab zorvakcd"]
+    got, spans = toxicity.Scorer(model)([t.encode() for t in texts], spans=True)
+    for k, t in enumerate(texts):
+        score, want = plain_scores(model, t)
+        assert np.isclose(got[k], score, rtol=1e-6, atol=1e-9) and spans[k] == want, t[:80]
+    assert all(bool(s) <= (v >= toxicity.THRESHOLD) for s, v in zip(spans, got, strict=True))
+    assert np.mean([(v >= toxicity.THRESHOLD) == m for v, m in zip(got, marks, strict=False)]) > 0.98
+
+
+def test_markers_are_stems_with_many_endings_not_repeated_lines():
+    rng = random.Random(5)
+    clean = [set(prose(rng, 200).split()) for _ in range(40)]
+    bad = [set(prose(rng, 200).split()) | {"zorvak" + e for e in "abcdefgh"} for _ in range(2)]
+    often = [set(prose(rng, 200).split()) | {"qqqqqq"}]  # one word, however often a line repeats it
+    found = toxicity.find_markers(clean + bad + often, [False] * 40 + [True] * 3, 1.0)
+    assert "zorvak" in found and not any(f.strip("=").startswith("qqq") for f in found)
+    assert all("zorvak".startswith(f.strip("=")) for f in found)
+
+
+def test_toxic_spans_from_few_labelled_rows(spark):
+    """37 toxic rows to learn from: caught and left alone, read by spans, learned or held out."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = toxicity.predict(docs, toxicity.learn(docs, labels)).join(labels, "doc_id").collect()
+    assert all(bool(r["spans"]) <= bool(r["predicted"]) for r in got)
+    assert np.mean([bool(r["spans"]) for r in got if r["toxic"] == 1]) >= 0.88  # a few labelled rows hold no toxic word
+    assert np.mean([not r["spans"] for r in got if r["toxic"] == 0]) >= 0.98
+
+
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_the_sample_is_one_text_an_id_of_any_type(spark, kind):
+    rows = [(7, f"text {k}", "en", "a") for k in range(500)] + [(9, "other words", "en", "a"), (None, "x", "en", "a")]
+    docs = docs_of(spark, rows).withColumn("doc_id", F.col("doc_id").cast(kind))
+    labels = spark.createDataFrame([(7, 1), (9, 0)], "doc_id long, toxic int").withColumn("doc_id", F.col("doc_id").cast(kind))
+    texts, toxic, _ = toxicity._sample(docs, labels, "doc_id", "text", "doc_id", "toxic", 10, 10)
+    assert len(texts) == len(toxic) <= 2
+    out = toxicity.predict(docs, toxicity.learn(docs, labels))
+    assert dict(out.dtypes)["doc_id"] == kind and out.count() == 502
+
+
 def test_every_language_is_learned(spark, monkeypatch):
     rng = random.Random(21)
     free = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2]
