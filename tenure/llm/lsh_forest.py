@@ -17,8 +17,8 @@ With TREES orders of DEPTH values a pair at similarity 0.75 shares no region
 with a chance of about 1e-4.
 
 Defined results: null and empty texts have no shingles, link with nothing and
-are their own component; rows that repeat a doc_id each get a row; extra
-columns are not read; an empty table gives an empty table.
+are their own component; ids may be of any type; rows that repeat a doc_id each
+get a row; extra columns are not read; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,12 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenure.session import materialize
 
-from .common import as_binary, chunks, utf8
+from .common import as_binary, chunks, free_name, row_key, utf8
 from .components import connected
 
 WORDS = 5
@@ -99,7 +100,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 WIDE = "region bigint, tree int, cid bigint, n bigint, further binary, sketch binary, tags binary"
-SIGNED = "doc_id bigint, n_shingles bigint, digest binary, sig binary"
+SIGNED = "n_shingles bigint, digest binary, sig binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +312,7 @@ def _remainder(members: DataFrame, wide: DataFrame, sizes: DataFrame, links: Dat
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     rows = as_binary(docs, id_col, text=text_col).withColumnRenamed(id_col, "doc_id")
-    signed = materialize(rows.mapInArrow(_sign, SIGNED), "signatures")
+    signed = materialize(rows.mapInArrow(_sign, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SIGNED}"), "signatures")
     classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("low_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     classes = materialize(classes.select(F.monotonically_increasing_id().alias("cid"), "*"), "classes")
 
@@ -344,11 +345,48 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select("doc_id", "n_shingles", found.alias("component_id"), F.col("doc_id").eqNullSafe(found).alias("kept"))
 
 
+def _row_name(id_: Column, kind: T.DataType, text: Column) -> Column:
+    """A name for a row that sorts as its id does (whole numbers by value, null last) and tells its text."""
+    place = id_.cast("string")
+    if isinstance(kind, T.IntegralType):
+        place = F.lpad((id_.cast("decimal(21,0)") + F.lit(str(1 << 63)).cast("decimal(21,0)")).cast("string"), 20, "0")
+    return F.concat(F.coalesce(F.concat(F.lit("0"), place), F.lit("1")), F.lit(":"), row_key(id_, text))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without all but one of each near-duplicate group; columns unchanged.
+    """Exactly one row of each near-duplicate group stays, that with the smallest id; columns unchanged.
 
-    Rows that repeat a doc_id stay or go together.
+    Rows are told apart by id and text, so a text of its own stays though
+    another row with its id goes; of rows that repeat in both one stays. Rows
+    without words are in no group and all stay.
     """
-    gone = near_documents(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = materialize(gone, "gone")
-    return docs.join(gone.hint("merge"), docs[id_col] == gone["gone_id"], "left_anti")
+    name = free_name(docs, "row_name")
+    named = docs.withColumn(name, _row_name(F.col(f"`{id_col}`"), docs.schema[id_col].dataType, F.col(f"`{text_col}`")))
+    found = materialize(near_documents(named, name, text_col).select("doc_id", "n_shingles", "kept"), "found")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    left = named.join(gone.hint("merge"), name, "left_anti")
+    again = found.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    again = materialize(again.select(F.col("doc_id").alias(name)), "repeated")
+    if not again.isEmpty():  # rows equal in id and text: one of each
+        once = left.join(again.hint("merge"), name, "left_semi").dropDuplicates([name])
+        left = left.join(again.hint("merge"), name, "left_anti").unionByName(once)
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+ORACLE = """
+with recursive split as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') as w
+  from documents),
+shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from split where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+linked as (select a, b from common c join sizes x on x.doc_id = c.a join sizes y on y.doc_id = c.b where 100 * c.c >= 75 * (x.n + y.n - c.c)),
+ways as (select a, b from linked union all select b, a from linked),
+reach as (select doc_id, doc_id as root from split union select w.b, r.root from reach r join ways w on w.a = r.doc_id),
+lowest as (select doc_id, min(root) as component_id from reach group by doc_id)
+select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id, d.doc_id = component_id as kept
+from split d join lowest using (doc_id) left join sizes using (doc_id)
+"""
