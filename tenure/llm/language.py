@@ -1,8 +1,9 @@
 """Language of documents as a mixture, by expectation-maximisation.
 
 Each learned language is a distribution over character trigrams of lower-cased
-words. A document is a mixture: EM over its words (over short runs of words in
-longer texts) estimates how large a share each language has. The set of languages is chosen by penalised likelihood: the
+words. A document is a mixture: EM over its words (in texts of LONG_WORDS words
+or more over runs of UNIT_WORDS words, to which single words add little) estimates
+how large a share each language has. The set of languages is chosen by penalised likelihood: the
 languages are ordered by share, nested sets are fitted again, and a further
 language must pay half a log of the word count. The largest share names the
 document.
@@ -14,7 +15,8 @@ with whole texts, in numpy over many texts at once, no shuffle.
 
 Defined results: null text, empty text and text without a letter give ``und``
 with score 0; rows with null lang teach nothing; with no labelled rows every
-document is ``und``; repeated rows get one row each; other columns are unread.
+document is ``und``; ids may be of any type; repeated rows get one row each;
+other columns are unread. ``keep_known`` rejects only what is ``und``.
 """
 
 from __future__ import annotations
@@ -42,8 +44,6 @@ LONG_WORDS = 32
 UNIT_WORDS = 4
 OVERLAP = 1.5
 ROUNDS = 12
-#: A document whose largest language has a smaller share is rejected by ``keep_known``.
-MIN_SHARE = 0.4
 
 
 @dataclass
@@ -255,7 +255,7 @@ def mixture(like: np.ndarray, n: np.ndarray, sizes: np.ndarray, languages: int)
     return out
 
 
-SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
+SCHEMA = "held_out boolean, lang_pred string, score double"
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,11 +268,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    return as_binary(rows, "doc_id", "held_out").mapInArrow(run, SCHEMA)
+    return as_binary(rows, "doc_id", "held_out").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SCHEMA}")
 
 
-def known(model: Model, text: Column, min_share: float = MIN_SHARE) -> Column:
-    """True where a language is found whose share is at least ``min_share``."""
+def known(model: Model, text: Column) -> Column:
+    """True where the method names a language (not ``und``), however many share the document."""
 
     @F.arrow_udf("boolean")
     def check(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -281,14 +281,14 @@ def known(model: Model, text: Column, min_share: float = MIN_SHARE) -> Column:
             rows = pa.RecordBatch.from_arrays([texts], names=["text"])
             keep: list[bool] = []
             for part in chunks([rows]):
-                pred, score = scorer(utf8(part))
-                keep += [p != "und" and s >= min_share for p, s in zip(pred, score, strict=True)]
+                pred, _ = scorer(utf8(part))
+                keep += [p != "und" for p in pred]
             yield pa.array(keep, pa.bool_())
 
     return check(text.cast("string").cast("binary"))
 
 
-def keep_known(docs: DataFrame, model: Model, text_col: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents whose language is found, with their columns unchanged."""
     flag = free_name(docs, "known_language")
-    return docs.withColumn(flag, known(model, F.col(f"`{text_col}`"), min_share)).where(F.col(flag)).drop(flag)
+    return docs.withColumn(flag, known(model, F.col(f"`{text_col}`"))).where(F.col(flag)).drop(flag)
