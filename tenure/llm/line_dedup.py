@@ -1,8 +1,9 @@
 """Repeated runs of lines, found by winnowing.
 
-A document is its lines that hold a word, by a 64-bit code of each stripped
+A document is its lines that hold a word, by a 128-bit code of each stripped
 line. A run is a stretch of consecutive lines with at least ``min_words``
-words. A line is deleted if it lies in a run that also occurs at an earlier
+words; its code has 128 bits too (two rolling hashes of the two halves of its
+lines' codes), so at 10^12 runs a false match has a chance of about 10^-15. A line is deleted if it lies in a run that also occurs at an earlier
 place (documents in order of id, then lines in order); the earliest copy of
 any line always stays.
 
@@ -21,8 +22,8 @@ rows. No pairs of documents are formed.
 
 Defined results: null text stays null, empty text stays empty; lines without a
 word go only if lines around them in one deleted stretch go; rows with equal
-id and text are one document and share the result; null ids come last; an
-empty table gives an empty table; extra columns are passed on.
+id and text are one document and share the result; ids may be of any type, null
+ids come last; an empty table gives an empty table; extra columns are passed on.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ from .common import chunks, free_name, row_key, utf8
 MIN_WORDS = 25
 GRAM_WORDS = 8
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, one for each half of a code
+_INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -59,24 +60,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(text: bytes, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS):
-    """(anchors, codes of shortest runs, their first line, their last line) of a text; line numbers from 0."""
+    """(anchors, both halves of the codes of shortest runs, their first line, their last line) of a text; line numbers from 0."""
     none = np.zeros(0, np.int64)
-    number, words, code = [], [], []
+    number, words, code = [], [], bytearray()
     for k, line in enumerate(text.split(b"\n")):
         if n := len(line.split()):
             number.append(k)
             words.append(n)
-            code.append(int.from_bytes(hashlib.blake2b(line.strip(), digest_size=8).digest(), "little"))
+            code += hashlib.blake2b(line.strip(), digest_size=16).digest()
     n = len(number)
     if sum(words) < min_words:
-        return none, none, none, none
+        return none, none, none, none, none
     number, upto = np.array(number), np.concatenate(([0], np.cumsum(words)))
-    power = _powers(_BASE, n)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(np.array(code, np.uint64) * power)))
-    back = _powers(_INVERSE, n)
+    halves = np.frombuffer(bytes(code), "<u8").reshape(-1, 2).T
+    sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * _powers(b, n)))) for h, b in zip(halves, _BASES, strict=True)]
+    back = [_powers(b, n) for b in _INVERSES]
 
-    def code_of(first, last):  # the same stretch has the same code wherever it lies
-        return _mix((sums[last + 1] - sums[first]) * back[first] + (last - first + 1).astype(np.uint64))
+    def code_of(first, last, half=0):  # the same stretch has the same code wherever it lies
+        return _mix((sums[half][last + 1] - sums[half][first]) * back[half][first] + (last - first + 1).astype(np.uint64))
 
     starts = np.arange(n)
     ends = np.searchsorted(upto, upto[:-1] + min_words) - 1
@@ -95,10 +96,10 @@ def fingerprints(text: bytes, min_words: int = MIN_WORDS, gram_words: int = GRAM
     begin = begin[begin >= 0]
     pairs = np.unique(np.concatenate((first * n + last, begin * n + lasts)))
     first, last = pairs // n, pairs % n
-    return np.unique(best).view(np.int64), code_of(first, last).view(np.int64), number[first], number[last]
+    return np.unique(best).view(np.int64), code_of(first, last).view(np.int64), code_of(first, last, 1).view(np.int64), number[first], number[last]
 
 
-PRINTS = "key string, doc_id bigint, anchors array<bigint>, runs array<struct<code:bigint,first:int,last:int>>"
+PRINTS = "anchors array<bigint>, runs array<struct<code:bigint,code2:bigint,first:int,last:int>>"
 
 
 def kept_ranges(spans: list[dict]) -> list[dict]:
@@ -115,25 +116,22 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     """(key, kept) of the documents with lines to delete: the ranges of lines that stay."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs_type = pa.list_(pa.struct([("code", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
+        fields = [pa.field("code", pa.int64()), pa.field("code2", pa.int64()), pa.field("first", pa.int32()), pa.field("last", pa.int32())]
         for batch in chunks(batches):
-            anchors, codes, firsts, lasts, sizes = [], [], [], [], []
+            anchors, columns = [], ([], [], [], [])
             for text in utf8(batch):
-                a, c, f, l = fingerprints(text, min_words, gram_words)
-                anchors.append(a)
-                codes.append(c)
-                firsts.append(f)
-                lasts.append(l)
-                sizes.append(len(c))
-            flat = pa.StructArray.from_arrays(
-                [pa.array(np.concatenate(codes)), pa.array(np.concatenate(firsts).astype(np.int32)), pa.array(np.concatenate(lasts).astype(np.int32))], fields=list(runs_type.value_type)
-            )
+                found = fingerprints(text, min_words, gram_words)
+                anchors.append(found[0])
+                for column, part in zip(columns, found[1:], strict=True):
+                    column.append(part)
+            sizes = [len(c) for c in columns[0]]
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(c).astype(f.type.to_pandas_dtype())) for c, f in zip(columns, fields, strict=True)], fields=fields)
             runs = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(anchors, pa.list_(pa.int64())), runs], names=["key", "doc_id", "anchors", "runs"])
 
     doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     rows = docs.where(text.isNotNull()).select(row_key(doc_id, text).alias("key"), doc_id.alias("doc_id"), text.cast("string").cast("binary").alias("text"))
-    prints = materialize(rows.mapInArrow(scan, PRINTS), "prints")
+    prints = materialize(rows.mapInArrow(scan, f"key string, doc_id {rows.schema['doc_id'].dataType.simpleString()}, {PRINTS}"), "prints")
     anchors = prints.select("key", F.explode("anchors").alias("anchor")).distinct()
     shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     # a document that repeats itself shows it in its runs, not in its distinct anchors
@@ -141,8 +139,9 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     keys = materialize(anchors.join(shared, "anchor").select("key").union(alone).distinct(), "suspects")
     runs = prints.join(keys, "key").select("key", "doc_id", F.explode("runs").alias("r")).select("key", "doc_id", "r.*").distinct()
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "first")
-    origin = runs.groupBy("code").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1").select("code", "origin")
-    later = runs.join(origin, "code").where(place > F.col("origin"))
+    code = ["code", "code2"]
+    origin = runs.groupBy(*code).agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*code, "origin")
+    later = runs.join(origin, code).where(place > F.col("origin"))
     spans = later.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

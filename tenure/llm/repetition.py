@@ -37,7 +37,7 @@ _SYMBOLS = b"#*$%&|<>"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 SCHEMA = (
-    "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
+    "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
     "base_failed boolean, kept boolean, dup_line_share double, worst_ngram int, worst_ngram_share double"
 )
 
@@ -153,9 +153,9 @@ def repetition_coverage(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per document: base counts, base verdict, the method's verdict and its measures."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in SCHEMA.split(", ")][1:]
+        names = [c.split()[0] for c in SCHEMA.split(", ")]
         for batch in chunks(batches):
             got = measure(utf8(batch))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(got[c]) for c in names)], names=["doc_id", *names])
 
-    return as_binary(docs, id_col, text=text_col).withColumnRenamed(id_col, "doc_id").mapInArrow(score, SCHEMA)
+    return as_binary(docs, id_col, text=text_col).mapInArrow(score, f"doc_id {docs.schema[id_col].dataType.simpleString()}, {SCHEMA}")
