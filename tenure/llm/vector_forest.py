@@ -5,7 +5,12 @@ fitted on a bounded sample of classes: each node projects its points on a
 random direction and splits at the median; points within a margin of the
 split go down both sides (spill overlap), so close pairs part rarely. Every
 class vector is then routed down every tree and compared, in double precision,
-with the vectors of its leaves. Leaves larger than a block are dealt out as
+with the vectors of its leaves. Trees are grown until a leaf stands for about
+LEAF_ROWS vectors of the table, by the table's exact count, down to LEAST_LEAF
+points of the sample; so leaves keep their size, and the work its proportion to
+the table, up to about SAMPLE * LEAF_ROWS / LEAST_LEAF vectors (beyond that
+``sample`` is the parameter to raise). Nodes share a pool of directions, so the
+trees stay small. Leaves larger than a block are dealt out as
 pairs of blocks, so no task holds more than two blocks and no pair is lost.
 
 A leaf task returns one row per vector, not per pair: the number of vectors it
@@ -46,7 +51,10 @@ from .components import connected, merge
 SIMILARITY = 0.95
 TREES = 8
 SAMPLE = 20_000
-LEAF = 48  # sampled points in a leaf
+LEAF = 48  # most sampled points in a leaf
+LEAF_ROWS = 192  # vectors of the table that a leaf stands for
+LEAST_LEAF = 4  # sampled points below which a node's median says too little
+POOL = 2048  # directions that nodes choose from
 BLOCK = 2048  # vectors in a block of a large leaf
 SPILL = 0.4
 MISSED = 5e-4  # chance at which a pair at the limit may part in all trees
@@ -74,21 +82,19 @@ class Forest:
         self.bound = -float(np.log1p(-(MISSED ** (1 / trees))))  # of a tree's summed chances
         self.margin, self.roots = margin, []
         self.at: list[tuple] = []  # (direction number, threshold, left, right) or a leaf's number
-        self.directions: list[np.ndarray] = []
+        pool = rng.standard_normal((POOL, points.shape[1]))
+        self.directions = pool / np.linalg.norm(pool, axis=1, keepdims=True)
         self.leaves = 0
         for _ in range(trees):
             self.roots.append(self._grow(points, np.arange(len(points)), np.zeros(len(points)), leaf, rng))
-        self.directions = np.array(self.directions) if self.directions else np.zeros((0, points.shape[1]))
 
     def _grow(self, points, mine, risk, leaf, rng) -> int:
         here = len(self.at)
         self.at.append(())
         if len(mine) > leaf:
             best = None
-            for _ in range(3):
-                d = rng.standard_normal(points.shape[1])
-                d /= np.linalg.norm(d)
-                x = points[mine] @ d
+            for d in rng.integers(0, len(self.directions), 3).tolist():
+                x = points[mine] @ self.directions[d]
                 cut = float(np.median(x))
                 left, right = x <= cut + self.margin, x > cut - self.margin
                 if best is None or left.sum() + right.sum() < best[2].sum() + best[3].sum():
@@ -101,9 +107,7 @@ class Forest:
             risk = risk + np.where(left & right, 0, np.maximum(over, _beyond((np.abs(x - cut) + self.margin) / self.sigma)))
             # points closer together than the margin cannot be parted: they stay one leaf, compared in blocks
             if left.sum() + right.sum() <= 1.5 * len(mine) and max(self._mean(mine, risk, left), self._mean(mine, risk, right)) <= self.bound:
-                self.directions.append(d)
-                k = len(self.directions) - 1
-                self.at[here] = (k, cut, self._grow(points, mine[left], risk[left], leaf, rng), self._grow(points, mine[right], risk[right], leaf, rng))
+                self.at[here] = (d, cut, self._grow(points, mine[left], risk[left], leaf, rng), self._grow(points, mine[right], risk[right], leaf, rng))
                 return here
         self.at[here] = self.leaves
         self.leaves += 1
@@ -213,7 +217,8 @@ def near_vectors(
     drawn = classes.where((F.size("v") == dims) & (F.pmod(F.xxhash64("v", F.lit(seed)), F.lit(1_000_003)) < rate * 1_000_003)).select("v").orderBy("v").toArrow()
     points = _unit(np.array(drawn.column("v").to_pylist(), np.float64)) if drawn.num_rows else np.zeros((0, max(dims, 1)))
     sigma = float(np.sqrt((2 - 2 * similarity) / max(dims, 1)))
-    forest = Forest(points, trees, leaf, spill * sigma, seed, sigma, similarity)
+    stands = min(leaf, max(LEAST_LEAF, int(LEAF_ROWS * len(points) / max(total, 1))))
+    forest = Forest(points, trees, stands, spill * sigma, seed, sigma, similarity)
     last = forest.leaves
     spec = "cid bigint, n bigint, v array<double>, leaf int, leaves array<int>"
 
@@ -255,3 +260,18 @@ def near_vectors(
     linked = rows.where(F.col("v").isNotNull()).join(named, "v").select("vec_id", "n_links", "component_id")
     alone = rows.where(F.col("v").isNull()).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+ORACLE = """
+with recursive v as (
+  select vec_id, [cast(c as double) for c in embedding] as x from embeddings),
+ok as (
+  select vec_id, [c / sqrt(list_inner_product(x, x)) for c in x] as u, len(x) as d
+  from v where x is not null and list_bool_and([c is not null and isfinite(c) for c in x]) and list_bool_or([c <> 0 for c in x])),
+linked as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.d = b.d and a.vec_id <> b.vec_id where list_inner_product(a.u, b.u) >= 0.95),
+reach as (select vec_id, vec_id as root from v union select l.b, r.root from reach r join linked l on l.a = r.vec_id),
+counts as (select a as vec_id, count(*) as n from linked group by a),
+lowest as (select vec_id, min(root) as component_id from reach group by vec_id)
+select v.vec_id, cast(coalesce(n, 0) as bigint) as n_links, component_id, v.vec_id = component_id as kept
+from v join lowest using (vec_id) left join counts using (vec_id)
+"""
