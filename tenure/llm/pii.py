@@ -22,8 +22,14 @@ own, are not looked for inside a candidate that failed, or every number with a
 wrong check digit would be taken for one.
 
 Check digits are computed anew. Country codes of phones and IBANs and the
-domains of e-mail addresses stay. Everything runs in the JVM as one map over
-the input; the key never enters the data. Text without a valid value stays.
+domains of e-mail addresses stay. A local part of one character is permuted by
+the rank of its keyed hash among its class, since a shift of one would give
+all the others away. Everything runs in the JVM as one map over
+the input. Text without a valid value stays.
+
+The keyed hash is SHA-256 nested under two keys derived from the secret one. The
+secret is read from a file by a scalar subquery: it is in no plan, explain
+output, event log or column. That file must be as closed as the texts.
 
 Defined results: null text stays null and has count 0; empty text stays empty;
 repeated rows get equal rows; an empty table gives an empty table; other
@@ -35,9 +41,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenure.session import new_run_folder
+
 ROUNDS = 8
 # Kinds in the order in which candidates are tried.
 KINDS = ("email", "iban", "ipv4", "date", "ssn", "card", "phone")
@@ -74,8 +82,27 @@ IBAN_LENGTHS = {
 }
 
 
-def _hex(key: str, *parts: Column) -> Column:
-    return F.sha2(F.concat(F.lit(key + "|"), F.concat_ws("|", *parts)), 256)
+#: The inner and the outer key of the nested hash.
+Key = tuple[Column, Column]
+
+
+def store_key(spark: SparkSession, secret: str) -> str:
+    """Write a secret key to a file in the shared work folder; returns its folder."""
+    folder = new_run_folder(spark, "key")
+    spark.createDataFrame([(secret,)], "value string").coalesce(1).write.text(folder)
+    return folder
+
+
+def read_key(spark: SparkSession, key_file: str) -> Key:
+    """The two keys as scalar subqueries over the file's only line; no line is an error."""
+    line = F.coalesce(F.min("value"), F.raise_error(F.lit("the key file is empty")).cast("string"))
+    lines = spark.read.text(key_file).where("value != ''")
+    return tuple(lines.agg(F.sha2(F.concat(F.lit(side + "|"), line), 256).alias(side)).scalar() for side in ("inner", "outer"))
+
+
+def _hex(key: Key, *parts: Column) -> Column:
+    inner = F.sha2(F.concat(key[0], F.lit("|"), F.concat_ws("|", *parts)), 256)
+    return F.sha2(F.concat(key[1], F.lit("|"), inner), 256)
 
 
 def _number(hex_: Column, start: Column | int = 1, digits: int = 12) -> Column:
@@ -105,7 +132,7 @@ def _shift(half: Column, hex_: Column) -> Column:
     return F.array_join(F.transform(_chars(half), move), "")
 
 
-def permute_text(value: Column, key: str, tweak: Column) -> Column:
+def permute_text(value: Column, key: Key, tweak: Column) -> Column:
     """Feistel permutation of the texts that have this value's length and character classes."""
     def turn(s: Column, r: Column) -> Column:
         return _bind(_hex(key, tweak, r.cast("string"), s["b"]), lambda h: F.struct(s["b"].alias("a"), _shift(s["a"], h).alias("b")))
@@ -117,7 +144,17 @@ def permute_text(value: Column, key: str, tweak: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), _bind(value, halves), turn, lambda s: F.concat(s["a"], s["b"]))
 
 
-def permute_pair(left: Column, right: Column, a: int, b: int, key: str, tweak: Column, use: Callable[[Column], Column]) -> Column:
+def permute_one(value: Column, key: Key, tweak: Column) -> Column:
+    """Permutation of one character within its class, by the rank of its keyed hash."""
+    def ranked(base: int, size: int) -> Column:
+        every = F.array(*[F.lit(chr(base + k)) for k in range(size)])
+        below = _bind(_hex(key, tweak, F.lit("one"), value), lambda own: F.size(F.filter(every, lambda c: _hex(key, tweak, F.lit("one"), c) < own)))
+        return F.char(F.lit(base) + below)
+
+    return F.when(value.between("0", "9"), ranked(48, 10)).when(value.between("a", "z"), ranked(97, 26)).when(value.between("A", "Z"), ranked(65, 26)).otherwise(value)
+
+
+def permute_pair(left: Column, right: Column, a: int, b: int, key: Key, tweak: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of the image (l, r) under a Feistel permutation of Z_a x Z_b."""
     start = F.struct(left.cast("bigint").alias("l"), right.cast("bigint").alias("r"))
 
@@ -162,7 +199,7 @@ def _card_valid(x: Column) -> Column:
     return _luhn(_only(x, "0-9")) % 10 == 0
 
 
-def _card(x: Column, key: str) -> Column:
+def _card(x: Column, key: Key) -> Column:
     def image(body: Column) -> Column:
         check = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
         return _refill(x, F.concat(body, check.cast("string")), "0-9")
@@ -175,7 +212,7 @@ def _iban_valid(x: Column) -> Column:
     return F.length(flat).between(15, 34) & (_mod97(F.concat(F.substr(flat, F.lit(5), F.length(flat)), F.substr(flat, F.lit(1), F.lit(4)))) == 1)
 
 
-def _iban(x: Column, key: str) -> Column:
+def _iban(x: Column, key: Key) -> Column:
     def image(flat: Column) -> Column:
         country = F.substr(flat, F.lit(1), F.lit(2))
 
@@ -192,7 +229,7 @@ def _phone_valid(x: Column) -> Column:
     return F.length(_only(x, "0-9")).between(8, 15)
 
 
-def _phone(x: Column, key: str) -> Column:
+def _phone(x: Column, key: Key) -> Column:
     digits = _only(x, "0-9")
     code = F.regexp_extract(x, r"^\+([0-9]{1,3})(?=[ .(-])", 1)
     code = F.when(code != "", code).when(x.startswith("+"), F.substr(digits, F.lit(1), F.lit(1))).otherwise("")
@@ -204,7 +241,7 @@ def _phone(x: Column, key: str) -> Column:
     return _bind(code, image)
 
 
-def _ipv4(x: Column, key: str) -> Column:
+def _ipv4(x: Column, key: Key) -> Column:
     def shown(p: Column) -> Column:
         parts = [F.floor(p["l"] / 256), p["l"] % 256, F.floor(p["r"] / 256), p["r"] % 256]
         return F.concat_ws(".", *[v.cast("string") for v in parts])
@@ -222,7 +259,7 @@ def _ssn_valid(x: Column) -> Column:
     return area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
 
 
-def _ssn(x: Column, key: str) -> Column:
+def _ssn(x: Column, key: Key) -> Column:
     def shown(p: Column) -> Column:
         index = F.floor(p["l"] / 99)
         area = index + F.when(index >= 665, 2).otherwise(1)
@@ -259,7 +296,7 @@ def _date_valid(x: Column) -> Column:
     return _calendar(x, lambda c: c["straight"] | c["swapped"])
 
 
-def _date(x: Column, key: str) -> Column:
+def _date(x: Column, key: Key) -> Column:
     first = F.lit("1801-01-01").cast("date")
     mark = F.substr(x, F.lit(3), F.lit(1))
 
@@ -281,9 +318,11 @@ def _date(x: Column, key: str) -> Column:
     return _calendar(x, image)
 
 
-def _email(x: Column, key: str) -> Column:
+def _email(x: Column, key: Key) -> Column:
     local, domain = F.substring_index(x, "@", 1), F.substring_index(x, "@", -1)
-    return F.concat(permute_text(local, key, F.concat(F.lit("email"), F.lower(domain))), F.lit("@"), domain)
+    tweak = F.concat(F.lit("email"), F.lower(domain))
+    image = F.when(F.length(local) == 1, permute_one(local, key, tweak)).otherwise(permute_text(local, key, tweak))
+    return F.concat(image, F.lit("@"), domain)
 
 
 _VALID = {"iban": _iban_valid, "date": _date_valid, "ssn": _ssn_valid, "card": _card_valid, "phone": _phone_valid}
@@ -349,13 +388,23 @@ def _settled(starts: Column) -> Column:
     return F.aggregate(runs, begin, run, lambda s: F.flatten(s["runs"]))
 
 
-def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text with pseudonyms, the number replaced of each kind, and their total."""
+def pseudonymised(docs: DataFrame, secret: str | None = None, id_col: str = "doc_id", text_col: str = "text", key_file: str | None = None) -> DataFrame:
+    """doc_id, text with pseudonyms, the number replaced of each kind, and their total.
+
+    ``key_file`` is a text file (or folder of one) with the secret key; a key
+    given as ``secret`` is first written to such a file in the work folder.
+    """
+    if (secret is None) == (key_file is None):
+        raise ValueError("give either the secret key or the file that holds it")
+    spark = docs.sparkSession
+    inner, outer = read_key(spark, key_file or store_key(spark, secret))
+    key = F.col("inner_key"), F.col("outer_key")
     other = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS if k != "email")
     # matches nothing, but stands before every place where a candidate begins, and sees what follows
     start = rf"(?=({PATTERNS['email']}|(?={other})[\s\S]{{1,{WINDOW}}}))"
     text = F.col("text")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = rows.withColumns({"inner_key": inner, "outer_key": outer})
     # a line feed in front, so that something stands before each candidate
     rows = rows.withColumn("led", F.when(text.rlike(HINT), F.concat(F.lit("\n"), text)))
     rows = rows.withColumn("ahead", F.regexp_extract_all("led", F.lit(start), F.lit(1)))

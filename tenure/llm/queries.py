@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,9 @@ from .common import table
 #: The folder of tokenizer files is a setting of the session; unset, the installed public files are used.
 TOKENIZERS = "tenure.llm.tokenizers"
 TOKENIZER_FILE = "word_bpe_49k.json"
-#: The pseudonyms' secret key is a setting of the session; the default is for tests only.
-PII_KEY = "tenure.llm.piiKey"
-PII_KEY_DEFAULT = "test key, not secret"
+#: The file with the pseudonyms' secret key is a setting of the session; without it a test key is used, with a warning.
+PII_KEY_FILE = "tenure.llm.piiKeyFile"
+PII_TEST_KEY = "test key, not secret"
 
 
 def tokenizer_path(spark: SparkSession) -> str:
@@ -26,7 +28,11 @@ def tokenizer_path(spark: SparkSession) -> str:
 
 
 def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymised(table(spark, sf_dir, "documents"), spark.conf.get(PII_KEY, PII_KEY_DEFAULT))
+    docs, key_file = table(spark, sf_dir, "documents"), spark.conf.get(PII_KEY_FILE, None)
+    if key_file:
+        return pii.pseudonymised(docs, key_file=key_file)
+    warnings.warn(f"{PII_KEY_FILE} is not set: pseudonyms are made with the public test key and can be undone", stacklevel=2)
+    return pii.pseudonymised(docs, PII_TEST_KEY)
 
 
 def op2_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,4 +105,8 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_filter_shapley": filter_audit.ORACLE}
+    return {
+        "op3_projection_forest": vector_forest.ORACLE,
+        "op10_lsh_forest": lsh_forest.ORACLE,
+        "op12_filter_shapley": filter_audit.ORACLE,
+    }

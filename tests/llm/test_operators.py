@@ -291,6 +291,93 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert got[2]["text"] == texts[2] and got[1]["n_replaced"] == 5
 
 
+class PlainFeistel:
+    """The pseudonyms' permutations and their inverses, written out."""
+
+    def __init__(self, secret):
+        self.inner, self.outer = (hashlib.sha256(f"{side}|{secret}".encode()).hexdigest() for side in ("inner", "outer"))
+
+    def hex(self, *parts):
+        inner = hashlib.sha256(f"{self.inner}|{'|'.join(parts)}".encode()).hexdigest()
+        return hashlib.sha256(f"{self.outer}|{inner}".encode()).hexdigest()
+
+    def shift(self, half, h, sign):
+        out = ""
+        for i, c in enumerate(half):
+            by = sign * int(h[i % 16 * 4 : i % 16 * 4 + 4], 16)
+            base, size = next(((b, n) for b, n in ((48, 10), (97, 26), (65, 26)) if b <= ord(c) < b + n), (0, 0))
+            out += chr(base + (ord(c) - base + by) % size) if size else c
+        return out
+
+    def text(self, value, tweak, back=False):
+        n = len(value) // 2
+        if back:  # the halves have changed places with every round
+            a, b = value[: len(value) - n], value[len(value) - n :]
+            a, b = (value[:n], value[n:]) if pii.ROUNDS % 2 == 0 else (a, b)
+            for r in range(pii.ROUNDS, 0, -1):
+                a, b = self.shift(b, self.hex(tweak, str(r), a), -1), a
+            return a + b
+        a, b = value[:n], value[n:]
+        for r in range(1, pii.ROUNDS + 1):
+            a, b = b, self.shift(a, self.hex(tweak, str(r), b), 1)
+        return a + b
+
+    def pair(self, left, right, a, b, tweak, back=False):
+        for r in range(pii.ROUNDS, 0, -1) if back else range(1, pii.ROUNDS + 1):
+            by = [int(self.hex(tweak, str(r), "l", str(right))[:12], 16)]
+            if back:
+                right = (right - int(self.hex(tweak, str(r), "r", str(left))[:12], 16)) % b
+                left = (left - int(self.hex(tweak, str(r), "l", str(right))[:12], 16)) % a
+            else:
+                left = (left + by[0]) % a
+                right = (right + int(self.hex(tweak, str(r), "r", str(left))[:12], 16)) % b
+        return left, right
+
+    def one(self, c, tweak, letters):
+        return letters[sum(self.hex(tweak, "one", x) < self.hex(tweak, "one", c) for x in letters)]
+
+
+def test_pseudonyms_are_the_plain_feistel_and_can_be_undone_with_the_key(spark):
+    plain, rng = PlainFeistel("k"), random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    locals_ = list(letters) + ["".join(rng.choice(letters + "AZ09._-") for _ in range(rng.randint(2, 30))) + "x" for _ in range(40)]
+    addresses = [tuple(rng.randint(0, 255) for _ in range(4)) for _ in range(20)]
+    numbers = [(rng.randint(1, 665), rng.randint(1, 99), rng.randint(1, 9999)) for _ in range(20)]
+    texts = [f"{x}@Host.org" for x in locals_] + [".".join(map(str, a)) for a in addresses] + [f"{a:03}-{b:02}-{c:04}" for a, b, c in numbers]
+    got = [r["text"] for r in pii.pseudonymised(docs_of(spark, [(k, t, None, None) for k, t in enumerate(texts)]), "k").orderBy("doc_id").collect()]
+    for x, image in zip(locals_, got, strict=False):
+        mine = image.removesuffix("@Host.org")
+        assert mine == (plain.one(x, "emailhost.org", letters) if len(x) == 1 else plain.text(x, "emailhost.org"))
+        assert len(x) == 1 or plain.text(mine, "emailhost.org", back=True) == x
+    assert sorted(got[:26]) == sorted(f"{x}@Host.org" for x in letters) and len({(ord(g[0]) - ord(x)) % 26 for g, x in zip(got, letters, strict=False)}) > 5
+    for a, image in zip(addresses, got[len(locals_) :], strict=False):
+        left, right = plain.pair(a[0] * 256 + a[1], a[2] * 256 + a[3], 65536, 65536, "ipv4")
+        assert image == f"{left // 256}.{left % 256}.{right // 256}.{right % 256}"
+        assert plain.pair(left, right, 65536, 65536, "ipv4", back=True) == (a[0] * 256 + a[1], a[2] * 256 + a[3])
+    for (a, b, c), image in zip(numbers, got[len(locals_) + len(addresses) :], strict=True):
+        x, y, z = map(int, image.split("-"))
+        index = lambda n: n - 1 - (n > 666)  # noqa: E731  1 to 899 without 666
+        assert plain.pair(index(x) * 99 + y - 1, z - 1, 898 * 99, 9999, "ssn", back=True) == (index(a) * 99 + b - 1, c - 1)
+
+
+def test_the_key_is_in_no_plan_and_must_be_given(spark, work_dir, capsys):
+    docs = docs_of(spark, [(1, "mail a.b@x.org", None, None)])
+    secret = "very-secret-9271"
+    out = pii.pseudonymised(docs, secret)
+    out.explain("extended")
+    text = capsys.readouterr().out + out._jdf.queryExecution().toString()
+    derived = [PlainFeistel(secret).inner, PlainFeistel(secret).outer]
+    assert out.first()["n_email"] == 1 and not any(x in text for x in (secret, *derived))
+    with open(f"{work_dir}/pii.key", "w") as f:
+        f.write(secret + "\n")
+    assert pii.pseudonymised(docs, key_file=f"{work_dir}/pii.key").collect() == out.collect()
+    open(f"{work_dir}/empty.key", "w").close()
+    with pytest.raises(Exception, match="key file is empty"):
+        pii.pseudonymised(docs, key_file=f"{work_dir}/empty.key").collect()
+    with pytest.raises(ValueError, match="either the secret key or the file"):
+        pii.pseudonymised(docs)
+
+
 def test_pseudonyms_inside_failed_candidates(spark):
     valid = {
         "iban": ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332"],
