@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tenure.functions.dates import parse_date, whole_days
 from tenure.functions.text import EXACT, JOIN_KEY, stringify, with_join_key
 from tenure.operators.ranking import (
+    HotSplit,
     first_per_group,
     number_by_ranges,
     prefix_by_ranges,
@@ -26,7 +27,7 @@ from tenure.operators.ranking import (
     split_hot_groups,
 )
 from tenure.operators.temporal import valid_at
-from tenure.session import MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT, conf_int, keep
+from tenure.session import HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT, MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS_DEFAULT, conf_int, keep
 from tenure.schemas import (
     EMPLOYEE_ATTRS,
     KEY,
@@ -168,10 +169,13 @@ def training_history(
     """
     e = _employee_for_training(emp, key_mode)
     h = _history_with_duration(hist, key_mode)
-    offsets = _employee_offsets(e, h) if row_index else None
+    offsets, most = _employee_offsets(e, h) if row_index else (None, None)
     if offsets is not None:
         e = e.join(offsets, ["Id_Employee", "EmployeeId"], "inner")
-    split = split_hot_groups(h, [K], min_hot_rows)
+    if min_hot_rows is None:
+        min_hot_rows = conf_int(emp.sparkSession, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT)
+    # the offsets' job has already measured the largest group: without a hot one no second count is needed
+    split = HotSplit(h, None, None, True) if most is not None and most < min_hot_rows else split_hot_groups(h, [K], min_hot_rows)
     w = Window.partitionBy(K).orderBy(*sort_orders(TRAINING_ORDER))
     # 64-bit: one employee may hold more positions than an int can count.
     numbered = split.normal.withColumn("rn", F.row_number().over(w).cast("bigint"))
@@ -197,30 +201,31 @@ def training_history(
     return wide
 
 
-def _employee_offsets(e: DataFrame, h: DataFrame) -> DataFrame | None:
-    """Where each employee's rows start in ``CSV_ORDER``, without touching the wide table.
+def _employee_offsets(e: DataFrame, h: DataFrame) -> tuple[DataFrame | None, int]:
+    """Where each employee's rows start in ``CSV_ORDER``, without touching the wide table; and the largest group's size.
 
     With (Id_Employee, EmployeeId) unique and non-null (the declared keys),
     an employee's wide rows are consecutive in ``CSV_ORDER``, ordered by
     ``rn``: there are max(positions, 1) of them. The start is therefore a
     weighted prefix sum over the employee table alone, computed by ranges.
     The wide row's index is then start + rn - 1, and the wide table is never
-    shuffled or written for it. Returns None when the keys repeat or hold a
-    null; the caller then numbers the wide rows by ranges instead.
+    shuffled or written for it. The keys are counted and the weights summed in
+    one aggregate, which is written once; whether keys repeat, and how large
+    the largest group is, are read from it. If keys repeat or hold a null the
+    offsets are None; the caller then numbers the wide rows by ranges instead.
     """
     units = ["Id_Employee", "EmployeeId"]
-    clash = (
-        e.groupBy(*units)
-        .agg(F.count(F.lit(1)).alias("_m"))
-        .filter((F.col("_m") > 1) | F.col("Id_Employee").isNull() | F.col("EmployeeId").isNull())
-    )
-    if not clash.isEmpty():
-        return None
     per_key = h.groupBy(K).agg(F.count(F.lit(1)).alias("_c"))
-    weights = e.select(*units, K).join(per_key, K, "left").select(
-        *units, F.greatest(F.coalesce(F.col("_c"), F.lit(0)), F.lit(1)).alias("_w")
-    )
-    return prefix_by_ranges(weights, units, "_w").select(*units, "_before")
+    one = F.greatest(F.coalesce(F.col("_c"), F.lit(0)), F.lit(1))
+    # outer on both sides: a key that no employee has may be the largest group too; such keys come last and weigh nothing
+    both = e.select(*units, K, F.lit(1).alias("_e")).join(per_key, K, "full")
+    grouped = both.groupBy("_e", *units).agg(F.count(F.lit(1)).alias("_m"), F.sum(one).alias("_w"), F.max("_c").alias("_most"))
+    ours = F.col("_e").isNotNull()
+    clash = ours & ((F.col("_m") > 1) | F.col("Id_Employee").isNull() | F.col("EmployeeId").isNull())
+    weights = grouped.select(*units, ours.alias("_ours"), F.when(ours, F.col("_w")).otherwise(0).alias("_w"), "_most", clash.alias("_clash"))
+    placed = prefix_by_ranges(weights, units, "_w")
+    seen = placed.agg(F.max("_most").alias("most"), F.count_if("_clash").alias("clashes")).first()
+    return (None if seen["clashes"] else placed.filter("_ours").select(*units, "_before")), int(seen["most"] or 0)
 
 
 def _join_hot_employees(e: DataFrame, hot: DataFrame, split) -> DataFrame:
