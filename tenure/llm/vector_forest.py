@@ -150,20 +150,21 @@ def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return best
 
 
-def _padded(lists, pad) -> np.ndarray:
-    out = np.full((len(lists), max(map(len, lists))), pad, np.int32)
-    for k, x in enumerate(lists):
-        out[k, : len(x)] = x
+def _padded(lists: list[bytes], pad: int) -> np.ndarray:
+    """Packed lists of leaves as the rows of one array."""
+    n = np.array([len(x) // 4 for x in lists])
+    out = np.full((len(lists), int(n.max())), pad, np.int32)
+    out[np.arange(out.shape[1]) < n[:, None]] = np.frombuffer(b"".join(lists), "<i4")
     return out
 
 
-def compare(part: pd.DataFrame, leaf: int, similarity: float) -> pd.DataFrame:
+def compare(part: pd.DataFrame, leaf: int, similarity: float, form: str) -> pd.DataFrame:
     """Links inside one leaf (or between two blocks of it), one row per linked class.
 
     ``half`` 0 and 1 are the two blocks; a block compared with itself has half 0 only.
     """
     part = part.sort_values("cid", kind="stable").reset_index(drop=True)
-    x = _unit(np.array(part["v"].tolist(), np.float64))
+    x = _unit(np.frombuffer(b"".join(part["v"].tolist()), form).reshape(len(part), -1).astype(np.float64))
     own, size = part["half"].to_numpy(), part["n"].to_numpy()
     left = np.flatnonzero(own == 0)
     one_block = len(left) == len(part)
@@ -204,7 +205,8 @@ def near_vectors(
     The links are the pairs with cosine of at least ``similarity`` that share
     a leaf; each was computed in double precision from the whole vectors.
     """
-    spark = vectors.sparkSession
+    single = vectors.schema[vector_col].dataType.elementType.simpleString() == "float"
+    form = "<f4" if single else "<f8"  # vectors travel in their own precision
     rows = vectors.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
     ok = F.col("v").isNotNull() & F.exists("v", lambda c: c != 0) & F.forall("v", lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False)))
     rows = rows.withColumn("v", F.when(ok, F.transform("v", lambda c: c + 0.0)))
@@ -220,24 +222,31 @@ def near_vectors(
     stands = min(leaf, max(LEAST_LEAF, int(LEAF_ROWS * len(points) / max(total, 1))))
     forest = Forest(points, trees, stands, spill * sigma, seed, sigma, similarity)
     last = forest.leaves
-    spec = "cid bigint, n bigint, v array<double>, leaf int, leaves array<int>"
+    spec = "cid bigint, n bigint, v binary, leaf int, leaves binary"
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            d = batch.to_pandas()
-            for size, part in d.groupby(d["v"].map(len)):
+        for batch in (b.slice(k, 2000) for b in batches for k in range(0, b.num_rows, 2000)):
+            lists = batch.column(2)
+            lengths = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+            flat, starts = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(lengths)))
+            for size in np.unique(lengths).tolist():
+                mine = np.flatnonzero(lengths == size)
+                x = flat[starts[mine][:, None] + np.arange(size)]
                 if size == dims:
-                    row, leaf_no = forest.route(_unit(np.array(part["v"].tolist(), np.float64)))
+                    row, leaf_no = forest.route(_unit(x))
                 else:  # vectors of another length meet in one leaf of their own, dealt out in blocks
-                    row, leaf_no = np.arange(len(part)), np.full(len(part), last + int(size))
+                    row, leaf_no = np.arange(len(mine)), np.full(len(mine), last + int(size))
                 order = np.lexsort((leaf_no, row))
-                row, leaf_no = row[order], leaf_no[order].astype(np.int32)
-                lists = np.split(leaf_no, np.flatnonzero(np.diff(row)) + 1)
-                out = pd.DataFrame({"cid": part["cid"].to_numpy()[row], "n": part["n"].to_numpy()[row], "v": part["v"].to_numpy()[row], "leaf": leaf_no})
-                out["leaves"] = [lists[k] for k in row]
-                yield pa.RecordBatch.from_pandas(out, preserve_index=False, schema=arrow)
+                row, leaf_no = row[order], leaf_no[order].astype("<i4")
+                packed, width = x.astype(form).tobytes(), size * int(form[2])
+                v = pa.array([packed[k * width : (k + 1) * width] for k in range(len(mine))], pa.binary())
+                at = np.flatnonzero(np.diff(row, prepend=-1))
+                raw, ends = leaf_no.tobytes(), np.append(at[1:], len(row))
+                leaves = pa.array([raw[4 * i : 4 * j] for i, j in zip(at.tolist(), ends.tolist(), strict=True)], pa.binary())
+                take = pa.array(row)
+                classes_ = (batch.column(k).take(pa.array(mine)).take(take) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([*classes_, v.take(take), pa.array(leaf_no), leaves.take(take)], names=["cid", "n", "v", "leaf", "leaves"])
 
-    arrow = pa.schema([("cid", pa.int64()), ("n", pa.int64()), ("v", pa.list_(pa.float64())), ("leaf", pa.int32()), ("leaves", pa.list_(pa.int32()))])
     routed = classes.select("cid", "n", "v").mapInArrow(route, spec)
     # at most `trees` x `sample` / `leaf` x overlap leaves, whatever the table's size
     crowd = routed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
@@ -247,7 +256,7 @@ def near_vectors(
     pair = dealt.select("leaf", F.least("mine", "other").alias("b0"), F.greatest("mine", "other").alias("b1"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("half"), "cid", "n", "v", "leaves")
 
     def leaf_links(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        return compare(part, key[0], similarity)
+        return compare(part, key[0], similarity, form)
 
     found = pair.groupBy("leaf", "b0", "b1").applyInPandas(leaf_links, "cid bigint, links bigint, low bigint")
     found = materialize(found, "links")
