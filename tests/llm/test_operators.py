@@ -74,6 +74,37 @@ def test_vectors_match_brute_force(spark):
     assert all(got[k]["component_id"] <= k and got[k]["kept"] == (got[k]["component_id"] == k) for k in got)
 
 
+def test_near_vectors_take_odd_rows_and_an_empty_table(spark):
+    big = [1e300, 1e300, -1e300]
+    data = [(1, [1.0, 2.0, 3.0], 0), (1, [1.0, 2.0, 3.0], 0), (2, [2.0, 4.0, 6.0], 1), (None, [1.0, 2.0, 3.0], 1), (3, big, 0), (4, [x / 1e10 for x in big], 0), (5, [1e-300, 1e-300, -1e-300], 0),
+            (6, None, 0), (7, [None, 1.0, 1.0], 0), (8, [0.0, 0.0, 0.0], 0), (9, [], 0), (10, [float("nan"), 1.0, 1.0], 0), (11, [-1.0, -2.0, -3.0], 0), (12, [1.0], 0), (12, [2.0], 0)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, n_links int")  # a column named as a result
+    got = sorted(map(tuple, vector_forest.near_vectors(df).collect()), key=str)
+    want = [(1, 3, 1, True)] * 2 + [(2, 3, 1, False), (None, 3, 1, False), (3, 2, 3, True), (4, 2, 3, False), (5, 2, 3, False)]
+    want += [(k, 0, k, True) for k in (6, 7, 8, 9, 10, 11)] + [(12, 1, 12, True)] * 2
+    assert got == sorted(want, key=str)
+    assert vector_forest.near_vectors(df.limit(0)).count() == 0
+
+
+def test_texts_of_several_megabytes(spark):
+    rng = random.Random(1)
+    words = prose(rng, 40_000).split()
+    long = " ".join(words * 15)  # about 3 MB; the words come again every 40,000
+    lines = "\n".join(" ".join(words[k : k + 10]) for k in range(0, len(words), 10))
+    docs = docs_of(spark, [(1, long, "en", "a"), (2, long, "en", "b"), (3, lines + "\n" + lines * 9, "en", "a"), (4, "x" * 3_000_000, "en", "a"), (5, "a1! " * 700_000, "de", "b")])
+    labels = spark.createDataFrame([(1, 1), (5, 0)], "doc_id long, toxic int")
+    near = {r["doc_id"]: r for r in lsh_forest.near_documents(docs).collect()}
+    assert near[2]["component_id"] == 1 and near[4]["n_shingles"] == 1 and near[1]["n_shingles"] >= 39_000
+    base = {r["doc_id"]: r for r in repetition.repetition_coverage(docs).collect()}
+    assert base[1]["n_words"] == 600_000 and not base[1]["kept"] and base[4]["word_chars"] == 3_000_000
+    kept = {r["doc_id"]: len(r["text"]) for r in line_dedup.without_repeats(docs).collect()}
+    assert kept[2] < len(long) and kept[3] < len(lines) * 2 + 2
+    assert language.predict(docs, language.learn(docs)).count() == 5
+    assert toxicity.predict(docs, toxicity.learn(docs, labels)).count() == 5
+    assert packing.pieces(docs, tokenizer_path(spark)).groupBy("doc_id").agg(F.sum("length").alias("n")).where("n > 100000").count() >= 4
+    assert secrets.scan(docs).count() == 5 and pii.pseudonymised(docs, "k").where("length(text) > 1000000").count() >= 4
+
+
 def test_vectors_of_a_dense_group_match_brute_force():
     rng = np.random.default_rng(1)
     points = rng.standard_normal((20_000, 64))
