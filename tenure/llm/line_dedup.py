@@ -133,7 +133,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     rows = docs.where(text.isNotNull()).select(row_key(doc_id, text).alias("key"), doc_id.alias("doc_id"), text.cast("string").cast("binary").alias("text"))
     prints = materialize(rows.mapInArrow(scan, f"key string, doc_id {rows.schema['doc_id'].dataType.simpleString()}, {PRINTS}"), "prints")
     anchors = prints.select("key", F.explode("anchors").alias("anchor")).distinct()
-    shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # written, so that the join deals both sides anew and AQE can split an anchor that very many documents hold
+    shared = materialize(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "shared")
     # a document that repeats itself shows it in its runs, not in its distinct anchors
     alone = prints.select("key", (F.size("runs") - F.size(F.array_distinct(F.col("runs.code")))).alias("twice")).where("twice > 0").select("key")
     keys = materialize(anchors.join(shared, "anchor").select("key").union(alone).distinct(), "suspects")
