@@ -45,14 +45,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about CHUNK_BYTES of text (one long text alone may be more)."""
+def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text (one long text alone may be more)."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
         column = batch.column(batch.schema.get_field_index(text))
         sizes = np.array([0 if s is None else s for s in pa.compute.binary_length(column).to_pylist()], dtype=np.int64)
-        group = np.cumsum(sizes) // CHUNK_BYTES
+        group = np.cumsum(sizes) // size
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:

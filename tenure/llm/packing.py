@@ -42,7 +42,8 @@ from .common import as_binary, chunks
 CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 100_000
-CACHE_WORDS = 700_000
+CACHE_WORDS = 250_000
+CHUNK_BYTES = 1 << 20  # text whose words and ids are laid out at once
 JOINED = 200  # words of letters that are tokenised as one text
 WORD_END = "</w>"
 
@@ -158,7 +159,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer)
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=CHUNK_BYTES):
             flat, ends = token_ids(_texts(batch), words)
             size = np.diff(ends, prepend=0)
             n = -(-size // capacity)
