@@ -42,8 +42,8 @@ from .common import as_binary, chunks
 CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 100_000
-CACHE_WORDS = 250_000
-CHUNK_BYTES = 1 << 20  # text whose words and ids are laid out at once
+CACHE_WORDS = 500_000
+CHUNK_BYTES = 2 << 20  # text whose words and ids are laid out at once
 JOINED = 200  # words of letters that are tokenised as one text
 WORD_END = "</w>"
 
@@ -56,7 +56,8 @@ class WordIds:
     ids are cut after those that end a word. Other words are tokenised alone.
     """
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, cache_words: int = CACHE_WORDS):
+        self.most = cache_words
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task on each core already
         from tokenizers import Tokenizer
 
@@ -103,11 +104,16 @@ class WordIds:
             self._alone(others)
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        """The words' numbers; new ones are tokenised first."""
-        if len(self.number) > CACHE_WORDS:
+        """The numbers of different words; new ones are tokenised first."""
+        if len(self.number) > self.most:
             self.clear()
-        self.add([w for w in dict.fromkeys(words) if w not in self.number])
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        found = list(map(self.number.get, words))
+        new = [k for k, n in enumerate(found) if n is None]
+        if new:
+            self.add([words[k] for k in new])
+            for k in new:
+                found[k] = self.number[words[k]]
+        return np.array(found, np.int64)
 
 
 def _plain(texts: pa.Array) -> pa.Array:
@@ -154,12 +160,24 @@ def _with_id(df: DataFrame, id_col: str, columns: str) -> str:
     return f"doc_id {df.schema[id_col].dataType.simpleString()}, {columns}"
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """One row per piece; ``with_ids`` adds the ids themselves (array of int)."""
+def pieces(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
+    cache_words: int = CACHE_WORDS,
+    chunk_bytes: int = CHUNK_BYTES,
+) -> DataFrame:
+    """One row per piece; ``with_ids`` adds the ids themselves (array of int).
+
+    ``cache_words`` and ``chunk_bytes`` bound what a worker holds besides its batch.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
-        for batch in chunks(batches, size=CHUNK_BYTES):
+        words = WordIds(tokenizer, cache_words)
+        for batch in chunks(batches, size=chunk_bytes):
             flat, ends = token_ids(_texts(batch), words)
             size = np.diff(ends, prepend=0)
             n = -(-size // capacity)
@@ -272,9 +290,17 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIE
     return cut.withColumn("shard", shard).drop("salt").groupBy("shard").applyInPandas(fill, _with_id(cut, "doc_id", PLACED))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    cache_words: int = CACHE_WORDS,
+    chunk_bytes: int = CHUNK_BYTES,
+) -> DataFrame:
     """Tokenise, cut and pack: one row per piece with its place."""
-    return pack(pieces(docs, tokenizer, capacity, id_col, text_col), capacity)
+    return pack(pieces(docs, tokenizer, capacity, id_col, text_col, False, cache_words, chunk_bytes), capacity)
 
 
 def sequences(docs: DataFrame, placed: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
