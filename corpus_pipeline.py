@@ -38,7 +38,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document with its place in a training sequence."""
-    return packing.pack_documents(docs, tokenizer_path(spark))
+    # four other stages have run in the same workers: this one keeps less in memory than it would alone
+    return packing.pack_documents(docs, tokenizer_path(spark), cache_words=250_000, chunk_bytes=1 << 20)
 
 
 STAGES = [
