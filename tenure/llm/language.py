@@ -38,6 +38,10 @@ MIN_ROWS = 20
 TABLE_LANGUAGES = 200
 #: Words (or runs) times languages that are held at once, unless one text alone has more.
 CELLS = 8 << 20
+#: Code points of text whose trigrams are computed at once.
+WINDOW = 1 << 18
+#: Log probabilities (trigrams times languages) that are looked up at once, unless one unit alone has more.
+LOOKED_UP = 1 << 20
 GRAM_BITS = 16
 #: Texts of LONG_WORDS words or more are mixtures of runs of UNIT_WORDS words, shorter ones of words.
 LONG_WORDS = 32
@@ -111,20 +115,28 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed trigrams of all words of the texts, the trigram at which each word begins, and each word's text.
 
     A word is a run of letters; its trigrams run over the lower-cased letters
-    with two blanks before and one behind.
+    with two blanks before and one behind. Besides the result, only WINDOW code
+    points are laid out at once, however long the texts are.
     """
-    flat = np.frombuffer(("\0\0" + "\0".join(texts) + "\0").encode("utf-32-le", "replace"), np.uint32)
-    c = _lower_letters()[np.minimum(flat, 0x10FFFF)]
-    here, one, two = c[2:], c[1:-1], c[:-2]
-    use = np.flatnonzero((here != 0) | (one != 0))
-    here, one = here[use], one[use]
-    two = np.where(one == 0, 0, two[use])
-    gram = two * np.uint32(0x9E3779B1) ^ one * np.uint32(0x85EBCA77) ^ here * np.uint32(0xC2B2AE3D)
-    gram = (gram ^ (gram >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-    starts = np.flatnonzero(one == 0)
+    joined = "\0\0" + "\0".join(texts) + "\0"
+    grams, starts, places, before = [], [], [], 0
+    for a in range(0, len(joined) - 2, WINDOW):
+        flat = np.frombuffer(joined[a : a + WINDOW + 2].encode("utf-32-le", "replace"), np.uint32)
+        c = _lower_letters()[np.minimum(flat, 0x10FFFF)]
+        here, one, two = c[2:], c[1:-1], c[:-2]
+        use = np.flatnonzero((here != 0) | (one != 0))
+        here, one = here[use], one[use]
+        two = np.where(one == 0, 0, two[use])
+        gram = two * np.uint32(0x9E3779B1) ^ one * np.uint32(0x85EBCA77) ^ here * np.uint32(0xC2B2AE3D)
+        gram = (gram ^ (gram >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+        grams.append((gram >> np.uint32(32 - GRAM_BITS)).astype(np.int32))
+        begin = np.flatnonzero(one == 0)
+        starts.append(begin + before)
+        places.append(use[begin] + a)
+        before += len(use)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
-    text = np.searchsorted(ends, use[starts], side="right")
-    return (gram >> np.uint32(32 - GRAM_BITS)).astype(np.int64), starts, text
+    text = np.searchsorted(ends, np.concatenate(places), side="right")
+    return np.concatenate(grams), np.concatenate(starts), text
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS) -> Model:
@@ -161,7 +173,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def _slices(group: np.ndarray) -> list[tuple[int, int]]:
-    """Texts of one group together."""
+    """Neighbours of one group together."""
     cuts = (np.flatnonzero(np.diff(group)) + 1).tolist()
     return list(zip([0, *cuts], [*cuts, len(group)], strict=True))
 
@@ -173,6 +185,14 @@ class Scorer:
         self.model = model
         self.weights = model.table() if len(model.languages) <= TABLE_LANGUAGES else None
 
+    def _looked_up(self, gram: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """As ``Model.summed``, from the full table, some units at a time."""
+        out = np.empty((len(cut), len(self.model.languages)), np.float32)
+        for a, b in _slices(cut * len(self.model.languages) // LOOKED_UP):
+            stop = cut[b] if b < len(cut) else len(gram)
+            out[a:b] = np.add.reduceat(self.weights[gram[cut[a] : stop]], cut[a:b] - cut[a], axis=0)
+        return out
+
     def __call__(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
         langs = self.model.languages
         pred, score = ["und"] * len(texts), np.zeros(len(texts))
@@ -192,7 +212,7 @@ class Scorer:
         if group[-1] > group[0] and len(texts) > 1:
             parts = [self(texts[a:b]) for a, b in _slices(group)]
             return [p for part in parts for p in part[0]], np.concatenate([part[1] for part in parts])
-        logs = self.model.summed(gram, starts[cut]) if self.weights is None else np.add.reduceat(self.weights[gram], starts[cut], axis=0)
+        logs = self.model.summed(gram, starts[cut]) if self.weights is None else self._looked_up(gram, starts[cut])
         # the trigrams of a unit overlap, so their product is too sure of itself by about this much
         logs = (logs - logs.max(1, keepdims=True)) / OVERLAP
         like = np.exp(np.maximum(logs, -60))

@@ -588,6 +588,41 @@ def test_every_language_is_learned(spark, monkeypatch):
     assert again[0] == pred == full[0] and np.allclose(again[1], score, atol=1e-3) and np.allclose(full[1], score, atol=1e-3)
 
 
+def test_language_of_long_texts_is_scored_in_little_memory(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(22)
+    word = {k: ["".join(rng.choice(letters) for _ in range(5)) for _ in range(500)] for k, letters in (("aa", "abcdef"), ("bb", "uvwxyz"))}
+    few = [" ".join(rng.choices(word[k], k=n)) for k in word for n in (1, 3, 40, 200)]
+    odd = ["", "\0", "a", "ab c\0d", " \n", "\u00e9\u65e5\u672c \U0001f600x", "\u0130 \u01c5"]
+    counts = {k: np.bincount(language.trigrams(word[k])[0], minlength=1 << language.GRAM_BITS) for k in word}
+    gram = [np.flatnonzero(n) for n in counts.values()]
+    names = pa.array(np.repeat(list(counts), [len(g) for g in gram]).tolist())
+    scorer = language.Scorer(language.model_of(names, np.concatenate(gram), np.concatenate([n[g] for n, g in zip(counts.values(), gram, strict=True)])))
+
+    def found():
+        pred, score = scorer([t.encode() for t in few + odd])
+        return [x.tolist() for x in language.trigrams(few + odd)], pred, score.tolist()
+
+    whole = found()
+    monkeypatch.setattr(language, "WINDOW", 7, raising=False)
+    monkeypatch.setattr(language, "LOOKED_UP", 20, raising=False)
+    assert found() == whole  # no cut shows
+    monkeypatch.undo()
+
+    texts = [" ".join(rng.choices(word["aa"], k=400_000)).encode(), *[few[3].encode()] * 1000]  # 3.6 million characters
+    tracemalloc.start()
+    try:
+        pred, _ = scorer(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert set(pred) == {"aa"}
+    assert peak < 30 * sum(map(len, texts))
+
+
 @pytest.mark.parametrize("task_links", [40, 2_000_000])
 def test_components_over_few_and_many_partitions(spark, monkeypatch, task_links):
     from tenure.llm import components
